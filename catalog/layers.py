@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from catalog.registry import Registry
 from pacewise.functions import measures as M
 from pacewise.operators import clean, conformed, quality, rolled
 from pacewise.operators import windows as win
-from pacewise.session import ensure_checkpoint_dir
+from pacewise.session import cut, ensure_checkpoint_dir
 from pacewise.sources import readers, schemas as S
 from pacewise.sources.tables import export_csv, register, row_counts
 
@@ -32,25 +33,30 @@ SALT_ALL = {"hot_rows": 0.5, "shares": 1e12}
 # --- frames the queries start from ----------------------------------------------
 
 
+@cache
 def bronze(spark: SparkSession, d: str, table: str) -> DataFrame:
     """Raw text with its date parsed, as the conformed layers load it."""
-    raw = star.raw_tables(spark, d)[table]
+    raw = star.RAW[table](spark, d)
     return raw.withColumn(S.DATE, M.day(S.DATE)) if S.DATE in raw.columns else raw
 
 
+@cache
 def typed(spark: SparkSession, d: str, table: str) -> DataFrame:
     """Raw text cast column by column, dates still text, as the rolled layers load it."""
-    return readers.cast_table(star.raw_tables(spark, d)[table], table)
+    return readers.cast_table(star.RAW[table](spark, d), table)
 
 
+@cache
 def slv_performance(spark: SparkSession, d: str) -> DataFrame:
     return clean.clean_performance(bronze(spark, d, S.PERFORMANCE))
 
 
+@cache
 def slv_budget(spark: SparkSession, d: str) -> DataFrame:
     return clean.clean_budget(bronze(spark, d, S.BUDGET))
 
 
+@cache
 def slv_conversions(spark: SparkSession, d: str) -> DataFrame:
     return clean.clean_conversions(bronze(spark, d, S.CONVERSIONS))
 
@@ -61,31 +67,38 @@ def gld_daily(spark: SparkSession, d: str, **options) -> DataFrame:
     )
 
 
+@cache
 def perf(spark: SparkSession, d: str) -> DataFrame:
     return rolled.performance_by_day(typed(spark, d, S.PERFORMANCE))
 
 
+@cache
 def rev(spark: SparkSession, d: str) -> DataFrame:
     return rolled.revenue_by_day(typed(spark, d, S.CONVERSIONS))
 
 
+@cache
 def conv(spark: SparkSession, d: str) -> DataFrame:
     return rolled.conversion_days(typed(spark, d, S.CONVERSIONS))
 
 
+@cache
 def pace(spark: SparkSession, d: str) -> DataFrame:
     return rolled.budget_pacing(typed(spark, d, S.BUDGET), typed(spark, d, S.AUDIENCE))
 
 
+@cache
 def pacing(spark: SparkSession, d: str) -> DataFrame:
     """Rows without an ad set tie on their date and are left out of the comparison."""
     return rolled.adset_pacing(pace(spark, d).dropna(subset=[S.AD_SET]))
 
 
+@cache
 def conv7(spark: SparkSession, d: str) -> DataFrame:
     return rolled.conversions_7d(perf(spark, d), conv(spark, d))
 
 
+@cache
 def daily_b(spark: SparkSession, d: str) -> DataFrame:
     return rolled.silver_daily(perf(spark, d), rev(spark, d))
 
@@ -94,7 +107,7 @@ def train(spark: SparkSession, d: str, **options) -> DataFrame:
     return rolled.training_table(
         perf(spark, d),
         rolled.audience_segments(typed(spark, d, S.AUDIENCE)),
-        pacing(spark, d),
+        cut(pacing(spark, d)),
         conv7(spark, d),
         rev(spark, d),
         **options,

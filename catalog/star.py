@@ -4,10 +4,14 @@ A customer stands for an ad set; views, clicks and errors are its delivery (an
 error is a refund, so spend can turn negative), purchases and signups are its
 conversions, the account balance is its budget. Delivery is reported per half
 day, so keys repeat; some rows lack their ad set.
+
+The functions return lazy plans, so keeping a plan per folder keeps no data.
 """
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +20,7 @@ from pacewise.sources import schemas as S
 WINDOWS = ["1_day_click", "1_day_view", "7_Day_Click"]
 
 
+@cache
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -35,6 +40,7 @@ def _text(df: DataFrame, name: str) -> DataFrame:
     return df.select(*[F.col(c).cast("string").alias(c) for c in S.RAW_TYPES[name]])
 
 
+@cache
 def raw_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind, value = F.col("event_type"), F.col("value")
     shown = F.count_if(kind == "view")
@@ -62,6 +68,7 @@ def raw_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text(rows, S.PERFORMANCE)
 
 
+@cache
 def raw_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     paid = F.when(F.col("event_type").isin("view", "click"), F.col("value")).otherwise(F.lit(0.0))
     days = (
@@ -87,6 +94,7 @@ def raw_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text(rows, S.BUDGET)
 
 
+@cache
 def raw_conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
     n, bought = F.col("event_id"), F.col("event_type") == "purchase"
     soft = F.element_at(
@@ -113,6 +121,7 @@ def raw_conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text(rows, S.CONVERSIONS)
 
 
+@cache
 def raw_audience(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("ad_set_id"),
@@ -125,24 +134,27 @@ def raw_audience(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text(rows, S.AUDIENCE)
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        S.PERFORMANCE: raw_performance(spark, sf_dir),
-        S.BUDGET: raw_budget(spark, sf_dir),
-        S.CONVERSIONS: raw_conversions(spark, sf_dir),
-        S.AUDIENCE: raw_audience(spark, sf_dir),
-    }
+RAW = {
+    S.PERFORMANCE: raw_performance,
+    S.BUDGET: raw_budget,
+    S.CONVERSIONS: raw_conversions,
+    S.AUDIENCE: raw_audience,
+}
 
 
+@cache
 def sales_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as gold rows: a supplier is an ad set, discount its spend."""
+    """Order lines as gold rows: a supplier is an ad set, discount its spend.
+
+    Amounts are whole pounds: their sums are exact in any order of addition.
+    """
     price, discount = F.col("l_extendedprice"), F.col("l_discount")
     return table(spark, sf_dir, "lineitem").select(
         F.to_date("l_shipdate").alias("date"),
         F.col("l_suppkey").cast("string").alias("ad_set_id"),
         F.col("l_quantity").cast("bigint").alias("impressions"),
-        (price * discount).alias("spend"),
-        (price * (1 - discount)).alias("revenue"),
+        F.round(price * discount).alias("spend"),
+        F.round(price * (1 - discount)).alias("revenue"),
         (F.col("l_tax") * 100).alias("ctr"),
         F.col("l_linenumber").alias("bookings"),
         F.when(F.col("l_returnflag") == "R", "under_pacing")

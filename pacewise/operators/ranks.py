@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil, floor
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -96,22 +98,16 @@ def exact_quantiles(df: DataFrame, column: str, probs: list[float]) -> DataFrame
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     ranked = running_total(counts, "_value", ["_n"])
-    total = ranked.agg(F.sum("_n")).scalar()
+    total = ranked.agg(F.sum("_n")).first()[0] or 0
 
-    def at(position: Column) -> Column:
-        covers = (position < F.col("cum__n")) & (position >= F.col("cum__n") - F.col("_n"))
+    def at(position: int) -> Column:
+        covers = (F.col("cum__n") > position) & (F.col("cum__n") - F.col("_n") <= position)
         return F.max(F.when(covers, F.col("_value")))
 
-    picks = []
+    picks, lerp = [], []
     for i, p in enumerate(probs):
-        place = F.lit(float(p)) * (total - 1)
-        picks += [
-            at(F.floor(place)).alias(f"_lo{i}"),
-            at(F.ceil(place)).alias(f"_hi{i}"),
-            F.max(place - F.floor(place)).alias(f"_t{i}"),
-        ]
-    lerp = [
-        F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_t{i}")
-        for i in range(len(probs))
-    ]
+        place = p * (total - 1)
+        picks += [at(floor(place)).alias(f"_lo{i}"), at(ceil(place)).alias(f"_hi{i}")]
+        step = F.col(f"_hi{i}") - F.col(f"_lo{i}")
+        lerp.append(F.col(f"_lo{i}") + step * F.lit(place - floor(place)))
     return ranked.agg(*picks).select(F.array(*lerp).alias("quantiles"))

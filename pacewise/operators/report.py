@@ -11,6 +11,7 @@ from pacewise.functions import text
 from pacewise.functions.measures import pacing_band, percent_change, ratio
 from pacewise.operators.ranks import exact_quantiles
 from pacewise.operators.windows import moving_average
+from pacewise.session import cut
 from pacewise.sources import schemas as S
 
 
@@ -186,6 +187,7 @@ def roas_table(rows: DataFrame) -> DataFrame:
 
 def roas_spread(per_ad_set: DataFrame) -> DataFrame:
     """Number of ad sets and their highest, lowest and median ROAS (0 when none)."""
+    per_ad_set = cut(per_ad_set)
     median = exact_quantiles(per_ad_set, "roas", [0.5]).scalar()
     return per_ad_set.agg(
         F.count(F.lit(1)).alias("adsets"),
@@ -254,7 +256,7 @@ def ad_set_payload(df: DataFrame, min_impressions: int = S.MIN_IMPRESSIONS) -> D
 
 def roas_payload(df: DataFrame, min_impressions: int = S.MIN_IMPRESSIONS, n: int = 3) -> DataFrame:
     """One row: number of ad sets, the volume limit, the n best and n worst as arrays."""
-    per_ad_set = roas_by_ad_set(df, min_impressions)
+    per_ad_set = cut(roas_by_ad_set(df, min_impressions))
     fields = [S.AD_SET, "roas", "spend", "impressions"]
 
     def listed(rows: DataFrame, sign: int) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from pacewise.functions.measures import flag
 from pacewise.operators.ranks import exact_quantiles, hash_position
 from pacewise.sources import schemas as S
 
@@ -25,39 +26,27 @@ def row_fraction_split(
     as the order inside a day is open.
     """
     day = F.col(date_col)
-    total = df.agg(F.count(F.lit(1))).scalar()
-    wanted = F.floor(total * F.lit(1 - test_fraction))
-    upto = W.orderBy(F.asc_nulls_last(date_col))
+    upto = W.orderBy(F.asc_nulls_last(date_col)).rowsBetween(W.unboundedPreceding, 0)
     days = (
         df.groupBy(date_col)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_through", F.sum("_n").over(upto.rowsBetween(W.unboundedPreceding, 0)))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("through", F.sum("n").over(upto))
+        .withColumn("total", F.sum("n").over(W.partitionBy()))
+        .withColumn("wanted", F.floor(F.col("total") * F.lit(1 - test_fraction)))
     )
-    # The boundary day, and how many of its rows train: at most one row.
-    boundary = days.filter(
-        (F.col("_through") > wanted) & (F.col("_through") - F.col("_n") <= wanted)
-    ).agg(
-        F.struct(
-            F.count(F.lit(1)).alias("found"),
-            F.max(date_col).alias("day"),
-            F.max(wanted - (F.col("_through") - F.col("_n"))).alias("take"),
-        )
-    ).scalar()
-    on_boundary = (boundary["found"] == 1) & day.eqNullSafe(boundary["day"])
-    earlier = (boundary["found"] == 0) | F.coalesce(
-        F.when(boundary["day"].isNull(), day.isNotNull()).otherwise(day < boundary["day"]),
-        F.lit(False),
-    )
-    settled = df.filter(~on_boundary).withColumn(
+    # The day the boundary falls in: at most one row.
+    boundary = days.filter("through > wanted AND through - n <= wanted").first()
+    if boundary is None:
+        return df.withColumn("split", F.lit(TRAIN))
+    take = boundary["wanted"] - (boundary["through"] - boundary["n"])
+    last = F.lit(boundary[date_col]).cast(df.schema[date_col].dataType)
+    earlier = day.isNotNull() if boundary[date_col] is None else F.coalesce(day < last, F.lit(False))
+    settled = df.filter(~day.eqNullSafe(last)).withColumn(
         "split", F.when(earlier, F.lit(TRAIN)).otherwise(F.lit(TEST))
     )
-    cut = hash_position(df.filter(on_boundary), tie_break or df.columns)
-    return settled.unionByName(
-        cut.withColumn(
-            "split",
-            F.when(F.col("position") < boundary["take"], F.lit(TRAIN)).otherwise(F.lit(TEST)),
-        ).drop("position")
-    )
+    placed = hash_position(df.filter(day.eqNullSafe(last)), tie_break or df.columns)
+    share = F.when(F.col("position") < take, F.lit(TRAIN)).otherwise(F.lit(TEST))
+    return settled.unionByName(placed.withColumn("split", share).drop("position"))
 
 
 def train_cutoff(df: DataFrame, train_fraction: float = 0.8, date_col: str = S.DATE) -> DataFrame:
@@ -98,12 +87,8 @@ def stratified_folds(
 
 def target_bins(df: DataFrame, target: str, out: str = "bin") -> DataFrame:
     """Add the quartile bin 1..4 of the target; a bound belongs to the bin above it."""
-    bounds = exact_quantiles(df, target, [0.0, 0.25, 0.5, 0.75, 1.0]).scalar()
-    reached = F.aggregate(
-        bounds,
-        F.lit(0),
-        lambda n, b: n + F.when(F.col(target) >= b, F.lit(1)).otherwise(F.lit(0)),
-    )
+    bounds = exact_quantiles(df, target, [0.0, 0.25, 0.5, 0.75, 1.0]).first()["quantiles"]
+    reached = sum((flag(F.col(target) >= b) for b in bounds), F.lit(0))
     return df.withColumn(out, F.least(F.greatest(reached, F.lit(1)), F.lit(4)))
 
 

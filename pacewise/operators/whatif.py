@@ -29,19 +29,16 @@ def reallocation(
     if curve not in ("power", "linear"):
         raise ValueError(f"unknown curve {curve!r}")
     base = cut(per_ad_set.select(S.AD_SET, "spend", "revenue", "roas"))
-    bounds = exact_quantiles(base, "roas", [0.25, 0.75]).scalar()
-    q1, q3 = F.get(bounds, F.lit(0)), F.get(bounds, F.lit(1))
+    q1, q3 = exact_quantiles(base, "roas", [0.25, 0.75]).first()["quantiles"]
     low, high = F.col("roas") <= q1, F.col("roas") >= q3
     totals = base.agg(
-        F.struct(
-            F.count(F.lit(1)).alias("n"),
-            F.sum("spend").alias("spend"),
-            F.sum(F.when(low, F.col("spend"))).alias("bottom_spend"),
-            F.sum(F.when(high, F.col("spend"))).alias("top_spend"),
-            F.count_if(low).alias("bottom"),
-            F.count_if(high).alias("top"),
-        )
-    ).scalar()
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum("spend"), F.lit(0.0)).alias("spend"),
+        F.coalesce(F.sum(F.when(low, F.col("spend"))), F.lit(0.0)).alias("bottom_spend"),
+        F.coalesce(F.sum(F.when(high, F.col("spend"))), F.lit(0.0)).alias("top_spend"),
+        F.count_if(low).alias("bottom"),
+        F.count_if(high).alias("top"),
+    ).first()
     groups = F.array_compact(
         F.array(
             F.when(low, F.lit("bottom")),
@@ -50,7 +47,7 @@ def reallocation(
         )
     )
     pot = totals["bottom_spend"] if neutral else totals["spend"]
-    gain = pot * shift * (F.col("spend") / F.greatest(totals["top_spend"], F.lit(1e-9)))
+    gain = pot * shift * (F.col("spend") / max(totals["top_spend"], 1e-9))
     spend_new = (
         F.when(F.col("quartile") == "bottom", F.col("spend") * (1 - shift))
         .when(F.col("quartile") == "top", F.col("spend") + gain)
@@ -63,14 +60,9 @@ def reallocation(
         )
     else:
         projected = F.col("spend_new") * F.col("roas") * elasticity
-    usable = (
-        (totals["n"] >= 4)
-        & (totals["spend"] > 0)
-        & (totals["bottom"] > 0)
-        & (totals["top"] > 0)
-    )
+    usable = totals["n"] >= 4 and totals["spend"] > 0 and totals["bottom"] and totals["top"]
     return (
-        base.filter(usable)
+        base.filter(F.lit(bool(usable)))
         .withColumn("in_both", low & high)
         .withColumn("quartile", F.explode(groups))
         .withColumn("spend_new", spend_new)
