@@ -208,11 +208,12 @@ def evaluation(r: Registry) -> None:
 
 
 def _risk_frames(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, list[str]]:
-    table = cut(models.usable_rows(train(spark, d), RISK_LABEL))
+    """Every row, the training part of the usable rows, and the features."""
+    table = cut(train(spark, d))
     wanted = models.with_optional(S.NEXT_DAY_RISK_FEATURES, table, ["revenue"])
     features = models.checked_features(wanted)
-    training = split.date_fraction_split(table).filter(F.col("split") == split.TRAIN)
-    return table, training, features
+    parts = split.date_fraction_split(models.usable_rows(table, RISK_LABEL))
+    return table, parts.filter(F.col("split") == split.TRAIN), features
 
 
 def _bookings(spark: SparkSession, d: str) -> DataFrame:
@@ -234,9 +235,9 @@ def _risk(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _rate(spark: SparkSession, d: str) -> DataFrame:
-    table = cut(models.usable_rows(train(spark, d), RATE_TARGET))
+    table = cut(train(spark, d))
     features = models.checked_features(S.NEXT_DAY_RISK_FEATURES)
-    parts = split.date_fraction_split(table)
+    parts = split.date_fraction_split(models.usable_rows(table, RATE_TARGET))
     model = models.fit_regressor(
         parts.filter(F.col("split") == split.TRAIN), features, RATE_TARGET, TREES
     )

@@ -23,7 +23,7 @@ def clean_suggestions(c: str | Column) -> Column:
     """A free text to at most three `- ` bullets, one per line, pounds for dollars."""
     c = F.col(c) if isinstance(c, str) else c
     flat = F.regexp_replace(F.replace(c, F.lit("$"), F.lit("£")), f"{SPACES}+", " ")
-    parts = F.filter(F.transform(F.split(flat, BULLET), F.trim), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(flat, BULLET), lambda p: F.trim(p)), lambda p: p != "")
     kept = F.when(F.size(parts) > 0, F.slice(parts, 1, MAX_BULLETS)).otherwise(F.array(flat))
     cut = F.transform(kept, lambda p: F.concat(F.lit("- "), F.left(p, F.lit(MAX_CHARS))))
     return F.when(c.isNull() | (c == ""), F.lit(NO_SUGGESTIONS)).otherwise(
