@@ -77,7 +77,7 @@ def raw_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.round(F.sum(paid), 2).alias("actual_spend"))
     )
     customer = table(spark, sf_dir, "customer")
-    planned = F.round(F.greatest("c_acctbal", F.lit(0.0)) / 100, 2)
+    planned = F.greatest("c_acctbal", F.lit(0.0)) / 100
     used = F.when(F.col("planned_spend") > 0, F.col("actual_spend") / F.col("planned_spend"))
     status = (
         F.when(F.col("budget_utilization") < 0.9, "Under_Pacing")
@@ -88,7 +88,7 @@ def raw_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = (
         days.join(customer, F.col("user_id") == F.col("c_custkey"))
         .withColumn("planned_spend", planned)
-        .withColumn("budget_utilization", F.round(used, 4))
+        .withColumn("budget_utilization", used)
         .withColumns({"pacing_status": status, "date": _day_text("day"), "ad_set_id": _id(1)})
     )
     return _text(rows, S.BUDGET)

@@ -6,10 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # White space as Python's `str` sees it, bullet marks, limits, wording.
-SPACES = (
-    r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-)
-BULLET = r" ?[-\x{2022}] "
+SPACE = r"\s\x1c-\x1f"
+SPACES = rf"(?U)[{SPACE}]+"
+BULLET = rf"(?U)[-\x{{2022}}][{SPACE}]+"
+SOME_TEXT = rf"(?U)[^{SPACE}\x{{2022}}-]|[-\x{{2022}}](?![{SPACE}])"
 MAX_BULLETS = 3
 MAX_CHARS = 300
 NO_SUGGESTIONS = "- No suggestions"
@@ -20,14 +20,25 @@ DEFAULT_ACTION = (
 
 
 def clean_suggestions(c: str | Column) -> Column:
-    """A free text to at most three `- ` bullets, one per line, pounds for dollars."""
+    """A free text to at most three `- ` bullets, one per line, pounds for dollars.
+
+    The text is split first; only the parts that are kept have their white space
+    collapsed, which gives the same parts as collapsing it all beforehand.
+    """
     c = F.col(c) if isinstance(c, str) else c
-    flat = F.regexp_replace(F.replace(c, F.lit("$"), F.lit("£")), f"{SPACES}+", " ")
-    parts = F.filter(F.transform(F.split(flat, BULLET), lambda p: F.trim(p)), lambda p: p != "")
-    kept = F.when(F.size(parts) > 0, F.slice(parts, 1, MAX_BULLETS)).otherwise(F.array(flat))
-    cut = F.transform(kept, lambda p: F.concat(F.lit("- "), F.left(p, F.lit(MAX_CHARS))))
-    return F.when(c.isNull() | (c == ""), F.lit(NO_SUGGESTIONS)).otherwise(
-        F.array_join(cut, "\n")
+
+    def flat(part: Column) -> Column:
+        return F.regexp_replace(F.replace(part, F.lit("$"), F.lit("£")), SPACES, " ")
+
+    def listed(part: Column) -> Column:
+        return F.concat(F.lit("- "), F.left(part, F.lit(MAX_CHARS)))
+
+    parts = F.filter(F.split(c, BULLET), lambda p: p.rlike(rf"(?U)[^{SPACE}]"))
+    kept = F.transform(F.slice(parts, 1, MAX_BULLETS), lambda p: listed(F.trim(flat(p))))
+    return (
+        F.when(c.isNull() | (c == ""), F.lit(NO_SUGGESTIONS))
+        .when(c.rlike(SOME_TEXT), F.array_join(kept, "\n"))
+        .otherwise(listed(flat(c)))
     )
 
 

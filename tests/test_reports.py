@@ -102,6 +102,8 @@ TEXTS = [
     "spend $5 - raise caps\n\n- trim B • test new  ads - too many",
     "no bullets, a non-breaking space and a hyphen-in-word",
     "x" * 700 + " - " + "\U0001f600" * 301,
+    "- lone dash at the end -",
+    "".join(c + "w" for c in map(chr, range(0x3001)) if c.isspace()) + " -\u3000next",
     "\x1ctab\tand\x85next - b c",
 ]
 
