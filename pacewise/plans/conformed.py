@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from pacewise.functions.measures import flag
+from pacewise.functions.measures import day, flag
 from pacewise.operators import clean, evaluate, models, quality
 from pacewise.operators.conformed import daily_metrics, training_set
 from pacewise.operators.split import TEST, TRAIN, row_fraction_split
@@ -33,7 +33,10 @@ AUDIT = "row_audit"
 
 @dataclass
 class Run:
-    """Where the raw files are, how the layers are called, and how far to train."""
+    """Where the raw files are, how the layers are called, and how far to train.
+
+    Gold is partitioned by date, for dashboards ask for date ranges.
+    """
 
     paths: dict[str, str]
     bronze: str = "bronze"
@@ -48,10 +51,21 @@ class Run:
 
 
 def load_bronze(spark: SparkSession, run: Run) -> None:
-    """The four raw files as tables; dates are parsed where there are any."""
+    """The four raw files as tables; dates are parsed where there are any.
+
+    Text that is no day-first date becomes null, and silver drops the row. The
+    audit says how many there were, counted while the table is written.
+    """
     for table in S.RAW_TYPES:
-        date_col = S.DATE if S.DATE in S.RAW_TYPES[table] else None
-        run.write(read_strict(spark, run.paths[table], table, date_col), run.bronze, table)
+        raw = read_strict(spark, run.paths[table], table)
+        if S.DATE not in raw.columns:
+            run.write(raw, run.bronze, table)
+            continue
+        bad = Observation()
+        lost = F.col(S.DATE).isNotNull() & day(S.DATE).isNull()
+        seen = raw.observe(bad, F.count_if(lost).alias("lost"))
+        run.write(seen.withColumn(S.DATE, day(S.DATE)), run.bronze, table)
+        run.counts[f"{run.bronze}.{table}.unparsed_dates"] = int(bad.get["lost"])
 
 
 def build_silver(spark: SparkSession, run: Run) -> None:
@@ -69,8 +83,9 @@ def build_gold(spark: SparkSession, run: Run) -> None:
         spark.table(f"{run.silver}.{SILVER_BUDGET}"),
         spark.table(f"{run.silver}.{SILVER_CONVERSIONS}"),
     )
-    run.write(daily, run.gold, DAILY, sort_by=S.KEYS)
-    run.write(training_set(spark.table(f"{run.gold}.{DAILY}")), run.gold, TRAINING, sort_by=S.KEYS)
+    by_day = {"sort_by": S.KEYS, "partition_by": [S.DATE]}
+    run.write(daily, run.gold, DAILY, **by_day)
+    run.write(training_set(spark.table(f"{run.gold}.{DAILY}")), run.gold, TRAINING, **by_day)
 
 
 def build_quality(spark: SparkSession, run: Run) -> None:

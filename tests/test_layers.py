@@ -204,3 +204,31 @@ def test_quality_report(spark):
     assert quality.profile(df.limit(0)).first()["null_fraction"] == 0.0
     with pytest.raises(RuntimeError, match="repeats"):
         quality.require_unique(df.unionAll(df), ["n"], "frame")
+
+
+def test_a_hot_ad_set_is_split_when_the_audience_is_large(spark):
+    """Without a broadcast, the budget join leaves the hot ad set to the skew split."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        budget = spark.range(0, 60_000, 1, 8).selectExpr(
+            "'1/8/2024' AS date",
+            "IF(id % 3 < 2, 'hot', CAST(id AS STRING)) AS ad_set_id",
+            "rand(7) AS budget_utilization",
+        )
+        audience = spark.range(0, 60_000, 3).selectExpr(
+            "CAST(id AS STRING) AS ad_set_id", "1.0D AS daily_budget"
+        )
+        df = rolled.budget_pacing(budget, audience)
+        assert len(df.collect()) == 60_000
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

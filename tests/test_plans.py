@@ -6,6 +6,7 @@ values are those of FIXTURES.md.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 from pathlib import Path
 
@@ -35,6 +36,18 @@ def test_conformed_plan_on_the_small_sample(spark, tmp_path):
     assert saved["model"] == "bookings"
 
 
+def test_unparsed_dates_are_counted(spark, tmp_path):
+    paths = write(tmp_path)
+    with open(paths[S.BUDGET], "a", encoding="utf-8") as f:
+        f.write("2024-08-09,A1,1,1,1.0,on_pace\n31/02/2024,A1,1,1,1.0,on_pace\n")
+    run = conformed.Run(paths, bronze="u_bronze")
+    spark.sql("CREATE SCHEMA IF NOT EXISTS u_bronze")
+    conformed.load_bronze(spark, run)
+    assert run.counts["u_bronze.budget_pacing"] == 10
+    assert run.counts["u_bronze.budget_pacing.unparsed_dates"] == 2
+    assert run.counts["u_bronze.conversion_events.unparsed_dates"] == 0
+
+
 def test_conformed_plan_needs_rows(spark, tmp_path):
     run = conformed.Run({}, gold="empty_gold", trees=1)
     spark.sql("CREATE SCHEMA IF NOT EXISTS empty_gold")
@@ -55,6 +68,10 @@ def _check_rolled(spark, gold: str, silver: str) -> None:
     assert quality.key_duplicates(daily, rolled_ops.BY_AD_SET).isEmpty()
 
 
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def _published() -> dict[str, str]:
     return {t: str(Path(PUBLISHED) / f"{t}.csv") for t in S.RAW_TYPES}
 
@@ -141,3 +158,17 @@ def test_rolled_plan_on_the_small_sample(spark, tmp_path):
     rolled.build_gold(spark, run)
     assert run.counts["r_gold.training_dataset"] == run.counts[f"r_silver.{S.PERFORMANCE}"] == 7
     assert spark.table("r_gold.adset_pacing").count() == 8
+    # bucketed sides join without an exchange; a date range reads only its partitions
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        daily = rolled_ops.silver_daily(
+            spark.table(f"r_silver.{S.PERFORMANCE}"), spark.table("r_silver.revenue_by_day")
+        )
+        assert "SortMergeJoin" in _plan(daily) and "Exchange" not in _plan(daily)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    day = dt.date(2024, 8, 2)
+    chosen = report.select_rows(spark.table("r_gold.training_dataset"), ["A1"], day, day)
+    assert "PartitionFilters: [isnotnull(date" in _plan(chosen)
+    assert "PushedFilters: [IsNotNull(ad_set_id), EqualTo(ad_set_id,A1)]" in _plan(chosen)
