@@ -18,9 +18,8 @@ def to_number(c: str | Column, kind: str = "double") -> Column:
     """Number or null; text such as `45230.0` still reads as the bigint 45230."""
     c = F.col(c) if isinstance(c, str) else c
     as_double = c.try_cast("double")
-    as_double = F.when(~F.isnan(as_double), as_double)
     if kind == "double":
-        return as_double
+        return F.nanvl(as_double, F.lit(None).cast("double"))
     return F.coalesce(c.try_cast(kind), as_double.try_cast(kind))
 
 
