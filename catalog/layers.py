@@ -398,6 +398,19 @@ def rolled_layers(r: Registry) -> None:
         "SELECT date, ad_set_id, roas FROM daily_b",
         {"roas": 6},
     )
+    r.add(
+        "f29_roas_identity",
+        lambda s, d: daily_b(s, d)
+        .filter("spend > 0")
+        .agg(
+            F.count(F.lit(1)).alias("checked"),
+            F.count_if(F.abs(F.col("revenue") / F.col("spend") - F.col("roas")) > 1e-6).alias(
+                "wrong"
+            ),
+        ),
+        """SELECT count(*) AS checked, count(*) FILTER (abs(revenue / spend - roas) > 1e-6) AS wrong
+           FROM daily_b WHERE spend > 0""",
+    )
     r.add("j03_j07_budget_pacing", pace, "SELECT * FROM pace")
     r.add("w03_forward_7d_count", conv7, "SELECT * FROM conv7")
     r.add(
