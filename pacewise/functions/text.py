@@ -57,7 +57,8 @@ def percent(c: str | Column) -> Column:
     """Shares up to 1 are scaled by 100, larger values are percent already; null is 0%."""
     c = F.col(c) if isinstance(c, str) else c
     scaled = F.when(c <= 1, c * 100).otherwise(c)
-    return F.coalesce(F.concat(F.call_function("format_number", scaled, F.lit("0.0")), F.lit("%")), F.lit("0%"))
+    shown = F.call_function("format_number", scaled, F.lit("0.0"))
+    return F.coalesce(F.concat(shown, F.lit("%")), F.lit("0%"))
 
 
 def summary(points: Column) -> Column:
