@@ -3,15 +3,36 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from catalog.registry import Registry
-from pacewise.llm import chunks, mixing, shards, urls
+from pacewise.llm import bpe, chunks, mixing, shards, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def token_digests(encoded: DataFrame) -> DataFrame:
+    """Per row of bpe.encode(): doc_id, n_tokens, ids_sha256, decoded_sha256."""
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(bpe.encode(table(spark, sf_dir, "documents"), tokenizer()))
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.verdicts(table(spark, sf_dir, "pages"))
 
@@ -103,8 +124,30 @@ FROM placed
 """
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
+OP10 = """
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS payload, url FROM pages),
+digests AS (
+    SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, sha256(payload) AS payload_digest, url
+    FROM payloads),
+copies AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM digests)
+SELECT page_id, payload_bytes, payload_digest, url AS target_uri,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit'
+            ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM copies
+"""
+
+
 def add_to(registry: Registry) -> None:
+    registry.add("op2_bpe", op2_bpe)
     registry.add("op4_url_filters", op4_url_filters)
     registry.add("op5_exact_dedup", op5_exact_dedup, OP5)
     registry.add("op7_sharding", op7_sharding, OP7)
     registry.add("op9_mixing", op9_mixing, OP9)
+    registry.add("op10_warc", op10_warc, OP10)
