@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.registry import Registry
-from pacewise.llm import bpe, chunks, mixing, shards, urls, warc
+from pacewise.llm import bpe, chunks, mixing, ngrams, quality, shards, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,10 @@ FROM digests JOIN classes USING (text_sha256)
 """
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.similarity_classes(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shards(table(spark, sf_dir, "documents"))
 
@@ -82,6 +86,10 @@ FROM fitting
 """
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -148,6 +156,8 @@ def add_to(registry: Registry) -> None:
     registry.add("op2_bpe", op2_bpe)
     registry.add("op4_url_filters", op4_url_filters)
     registry.add("op5_exact_dedup", op5_exact_dedup, OP5)
+    registry.add("op6_ngram_join", op6_ngram_join)
     registry.add("op7_sharding", op7_sharding, OP7)
+    registry.add("op8_quality", op8_quality)
     registry.add("op9_mixing", op9_mixing, OP9)
     registry.add("op10_warc", op10_warc, OP10)
