@@ -6,13 +6,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.registry import Registry
-from pacewise.llm import bpe, chunks, mixing, ngrams, quality, shards, urls, warc
+from pacewise.llm import (
+    articles,
+    bpe,
+    chunks,
+    embeddings,
+    mixing,
+    ngrams,
+    quality,
+    shards,
+    urls,
+    warc,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return articles.extract(table(spark, sf_dir, "pages"))
+
+
 def tokenizer() -> str:
     import public_tokenizers
 
@@ -33,6 +48,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(bpe.encode(table(spark, sf_dir, "documents"), tokenizer()))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.similarity_links(table(spark, sf_dir, "embeddings"))
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.verdicts(table(spark, sf_dir, "pages"))
 
@@ -153,7 +172,9 @@ FROM copies
 
 
 def add_to(registry: Registry) -> None:
+    registry.add("op1_html_extraction", op1_html_extraction)
     registry.add("op2_bpe", op2_bpe)
+    registry.add("op3_embedding_dedup", op3_embedding_dedup)
     registry.add("op4_url_filters", op4_url_filters)
     registry.add("op5_exact_dedup", op5_exact_dedup, OP5)
     registry.add("op6_ngram_join", op6_ngram_join)
