@@ -31,7 +31,7 @@ from pacewise.llm.store import ship_package
 #: Words in the lexicon, at most this many bytes long; both bound what reaches the driver.
 LEXICON_WORDS, LEXICON_BYTES = 131_072, 48
 #: Characters taken at a time, and distinct words counted or remembered by one task.
-SLICE_CHARS, COUNTED_WORDS, REMEMBERED = 8_000_000, 500_000, 300_000
+SLICE_CHARS, COUNTED_WORDS, REMEMBERED = 1_500_000, 150_000, 100_000
 
 # White space and words of the vocabulary's pre-tokenizer.
 WHITE = "\t-\r \x85\xa0  -     　"
