@@ -31,12 +31,23 @@ def _soft() -> Column:
     return F.col("conversion_type").isin(S.SOFT_CONVERSIONS)
 
 
+def _conversion_values() -> list[Column]:
+    """What one conversion adds: booking revenue, bookings and soft conversions."""
+    return [
+        F.when(_booking(), F.col("value")).otherwise(F.lit(0.0)).alias("revenue"),
+        _booking().cast("bigint").alias("bookings"),
+        _soft().cast("bigint").alias("soft_conversions"),
+    ]
+
+
 def conversion_totals(conversions: DataFrame) -> DataFrame:
     """Booking revenue, bookings and soft conversions per (date, ad set)."""
-    return conversions.groupBy(*S.KEYS).agg(
-        F.sum(F.when(_booking(), F.col("value")).otherwise(F.lit(0.0))).alias("revenue"),
-        F.count_if(_booking()).alias("bookings"),
-        F.count_if(_soft()).alias("soft_conversions"),
+    sums = ["revenue", "bookings", "soft_conversions"]
+    values = conversions.select(*S.KEYS, *_conversion_values())
+    return values.groupBy(*S.KEYS).agg(
+        F.sum("revenue").alias("revenue"),
+        # A conversion without a type is neither.
+        *[F.coalesce(F.sum(c), F.lit(0).cast("bigint")).alias(c) for c in sums[1:]],
     )
 
 
@@ -62,9 +73,7 @@ def _spine(performance: DataFrame, budget: DataFrame, conversions: DataFrame) ->
         ),
         conversions.select(
             *S.KEYS,
-            F.when(_booking(), F.col("value")).otherwise(F.lit(0.0)).alias("revenue"),
-            _booking().cast("bigint").alias("bookings"),
-            _soft().cast("bigint").alias("soft_conversions"),
+            *_conversion_values(),
             none.alias("n0"),
             none.alias("n1"),
         ),
@@ -138,12 +147,7 @@ def daily_metrics_by_key(
         "bookings",
         "soft_conversions",
     ]
-    events = conversions.select(
-        *S.KEYS,
-        F.when(_booking(), F.col("value")).otherwise(F.lit(0.0)).alias("revenue"),
-        _booking().cast("bigint").alias("bookings"),
-        _soft().cast("bigint").alias("soft_conversions"),
-    )
+    events = conversions.select(*S.KEYS, *_conversion_values())
     rows = (
         performance.select(*S.KEYS, "ad_set_name", *_PERFORMANCE_ZEROS)
         .unionByName(

@@ -126,11 +126,11 @@ def fit_classifier(
 
 
 def positive_weight(df: DataFrame, label: str) -> float:
-    """neg / pos of the training rows, 1.0 without positives."""
+    """neg / pos of the training rows, 1.0 unless both classes occur."""
     row = df.agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     ).first()
-    return row["neg"] / row["pos"] if row["pos"] else 1.0
+    return row["neg"] / row["pos"] if row["pos"] and row["neg"] else 1.0
 
 
 def predict(model: PipelineModel, df: DataFrame, features: list[str], out: str) -> DataFrame:

@@ -30,7 +30,8 @@ def require_unique(df: DataFrame, keys: list[str], what: str) -> DataFrame:
 
 
 def _generated_at() -> Column:
-    return F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    return F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
 def profile(df: DataFrame) -> DataFrame:

@@ -11,22 +11,41 @@ from pyspark.sql import functions as F
 from pacewise.session import cut
 
 HASH_DIGITS = 4
+#: Copies of one row are counted before a bucket would hold more rows than this.
+BUCKET_ROWS = 1_000_000
 
 
-def hash_position(df: DataFrame, keys: list[str], strata: list[str] | None = None) -> DataFrame:
+def hash_position(
+    df: DataFrame,
+    keys: list[str],
+    strata: list[str] | None = None,
+    bucket_rows: int = BUCKET_ROWS,
+) -> DataFrame:
     """Add `position` (0-based) within each stratum, ordered by the md5 of `keys`.
 
     The leading hex digits of the hash split a stratum into 65,536 even buckets.
     Rows are numbered inside a bucket and moved up by the number of rows in the
     buckets before it, so no task sorts a whole stratum. The table of offsets
     has at most 65,536 rows per stratum (strata are label classes or bins).
-    `keys` should tell rows apart: rows with the same keys share a bucket.
+    Rows with the same keys share a bucket. If one has more than `bucket_rows` rows,
+    equal rows are counted and numbered, and the number enters the hash as well; so
+    copies of one row spread over the buckets, in the same way each time.
     """
     strata = strata or []
     text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
-    hashed = df.withColumn("_hash", F.md5(text)).withColumn(
-        "_bucket", F.left("_hash", F.lit(HASH_DIGITS))
-    )
+
+    def in_buckets(rows: DataFrame, text: Column) -> DataFrame:
+        return rows.withColumn("_hash", F.md5(text)).withColumn(
+            "_bucket", F.left("_hash", F.lit(HASH_DIGITS))
+        )
+
+    hashed = in_buckets(df, text)
+    fullest = hashed.groupBy(*strata, "_bucket").count().agg(F.max("count")).first()[0] or 0
+    if fullest > bucket_rows:
+        number = F.col("_number")
+        hashed = in_buckets(
+            _numbered_copies(df, bucket_rows), F.when(number == 0, text).otherwise(F.concat_ws("|", text, number))
+        ).drop("_number")
     before = W.partitionBy(*strata).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         hashed.groupBy(*strata, "_bucket")
@@ -43,6 +62,20 @@ def hash_position(df: DataFrame, keys: list[str], strata: list[str] | None = Non
     )
 
 
+def _numbered_copies(df: DataFrame, piece: int) -> DataFrame:
+    """Every row with `_number`, 0 for the first of its equals; pieces spread over tasks."""
+    step = F.lit(piece).cast("bigint")
+    pieces = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1, step))
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    last = F.least(F.col("_from") + step, F.col("_n")) - 1
+    return (
+        counted.withColumn("_from", pieces)
+        .repartition(*df.columns, "_from")
+        .withColumn("_number", F.explode(F.sequence("_from", last)))
+        .drop("_n", "_from")
+    )
+
+
 def running_total(
     df: DataFrame, order: str, sums: list[str], ascending: bool = True, ahead: bool = False
 ) -> DataFrame:

@@ -56,7 +56,8 @@ def date_bounds(df: DataFrame) -> DataFrame:
 
 
 def daily_totals(df: DataFrame) -> DataFrame:
-    return df.groupBy(S.DATE).agg(
+    """Spend and revenue per day; rows without a date belong to no day."""
+    return df.dropna(subset=[S.DATE]).groupBy(S.DATE).agg(
         F.sum("spend").alias("spend"), F.sum("revenue").alias("revenue")
     )
 
@@ -128,9 +129,9 @@ def period_kpis(df: DataFrame, start: date, end: date) -> DataFrame:
 
 
 def first_to_last_change(df: DataFrame) -> DataFrame:
-    """Percent change of spend and revenue from the first to the last row by date."""
+    """Percent change of spend and revenue from the first to the last row that has a date."""
     place = F.struct(S.DATE, S.AD_SET)
-    return df.agg(
+    return df.dropna(subset=[S.DATE]).agg(
         *[
             percent_change(F.max_by(c, place), F.min_by(c, place)).alias(f"{c}_change")
             for c in ["spend", "revenue"]
@@ -152,11 +153,14 @@ def spend_scenarios(df: DataFrame, scales: list[float]) -> DataFrame:
 
 
 def roas_by_ad_set(df: DataFrame, min_impressions: int | None = None) -> DataFrame:
-    """Ratio of sums per ad set; ad sets below the volume limit are left out."""
+    """Ratio of sums per ad set; ad sets below the volume limit are left out.
+
+    Rows without an ad set belong to none and are left out, too.
+    """
     sums = [F.sum("spend").alias("spend"), F.sum("revenue").alias("revenue")]
     if min_impressions is not None:
         sums += [F.sum("impressions").alias("impressions"), F.avg("ctr").alias("ctr")]
-    out = df.groupBy(S.AD_SET).agg(*sums)
+    out = df.dropna(subset=[S.AD_SET]).groupBy(S.AD_SET).agg(*sums)
     if min_impressions is not None:
         out = out.filter(F.col("impressions") >= min_impressions)
     return out.withColumn("roas", ratio("revenue", "spend", empty=0.0))
@@ -172,6 +176,7 @@ def worst(per_ad_set: DataFrame, n: int = 5, worst_first: bool = True) -> DataFr
     return lowest if worst_first else lowest.orderBy(F.desc("roas"), S.AD_SET)
 
 
+# Printed titles.
 ROAS_TITLES = {
     "ad_set_id": "Ad set",
     "spend": "Spend (£)",

@@ -51,7 +51,8 @@ def row_fraction_split(
 
 def train_cutoff(df: DataFrame, train_fraction: float = 0.8, date_col: str = S.DATE) -> DataFrame:
     """One row with the last training date: the first share of the distinct dates trains."""
-    dates = df.agg(F.sort_array(F.collect_set(date_col)).alias("dates"))
+    # Days are few whatever the type of the column is.
+    dates = df.agg(F.sort_array(F.collect_set(F.to_date(date_col))).alias("dates"))
     index = F.greatest(
         F.lit(1), F.floor(F.size("dates") * F.lit(float(train_fraction))).cast("int")
     )
@@ -64,7 +65,7 @@ def date_fraction_split(
     """Add `split`: whole days, train up to the cutoff and valid after it."""
     cutoff = train_cutoff(df, train_fraction, date_col).scalar()
     return df.withColumn(
-        "split", F.when(F.col(date_col) <= cutoff, F.lit(TRAIN)).otherwise(F.lit(VALID))
+        "split", F.when(F.to_date(date_col) <= cutoff, F.lit(TRAIN)).otherwise(F.lit(VALID))
     )
 
 
@@ -80,8 +81,11 @@ def window_dates(split: DataFrame, date_col: str = S.DATE) -> DataFrame:
 def stratified_folds(
     df: DataFrame, stratum: str, k: int = 5, keys: list[str] | None = None
 ) -> DataFrame:
-    """Add `fold` 0..k-1: shuffled by a key hash, each class spread evenly over the folds."""
-    placed = hash_position(df, keys or [S.AD_SET, S.DATE], [stratum])
+    """Add `fold` 0..k-1: shuffled by a hash, each class spread evenly over the folds.
+
+    The hash is that of `keys`, of all columns if not given: (ad set, date) repeats.
+    """
+    placed = hash_position(df, keys or df.columns, [stratum])
     return placed.withColumn("fold", F.pmod("position", F.lit(k)).cast("int")).drop("position")
 
 

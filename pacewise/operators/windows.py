@@ -23,7 +23,9 @@ def next_row_value(
     """(by, order, value) rows plus the value of the next row of the same `by`.
 
     The next row, not the next calendar day. Rows that tie on (by, order) have no
-    given order; here they follow a hash of the value, then the value.
+    given order; here they follow their value's millionths modulo TIE_BUCKETS, then the
+    value. Values that are null, or beyond a long's millionths, come first. Rows without
+    `by` are rows of one more `by`.
 
     No window holds all rows of one `by`: copies collapse into one counted row,
     a first window covers one (by, order, hash bucket), and only the last row of
@@ -32,7 +34,10 @@ def next_row_value(
     """
     out = out or f"next_{value}"
     runs = df.groupBy(by, order, value).agg(F.count(F.lit(1)).alias("_n"))
-    runs = runs.withColumn("_tie", F.pmod(F.xxhash64(value), F.lit(TIE_BUCKETS)))
+    millionths = F.floor(F.col(value) * 1_000_000).try_cast("bigint")
+    runs = runs.withColumn(
+        "_tie", F.coalesce(F.pmod(millionths, F.lit(TIE_BUCKETS)), F.lit(-1).cast("bigint"))
+    )
     group = W.partitionBy(by, order, "_tie").orderBy(value)
     linked = runs.select(
         "*",

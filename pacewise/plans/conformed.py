@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pacewise.functions.measures import day, flag
 from pacewise.operators import clean, evaluate, models, quality
-from pacewise.operators.conformed import daily_metrics, training_set
+from pacewise.operators.conformed import daily_metrics, daily_metrics_by_key, training_set
 from pacewise.operators.split import TEST, TRAIN, row_fraction_split
 from pacewise.session import cut
 from pacewise.sources import schemas as S
-from pacewise.sources.readers import read_strict
+from pacewise.sources.readers import read_strict, rejects
 from pacewise.sources.tables import (
     append_audit,
     ensure_layers,
@@ -35,7 +35,8 @@ AUDIT = "row_audit"
 class Run:
     """Where the raw files are, how the layers are called, and how far to train.
 
-    Gold is partitioned by date, for dashboards ask for date ranges.
+    Gold is partitioned by date, for dashboards ask for date ranges. With `by_key` it
+    has one row per (date, ad set) and counts nothing twice.
     """
 
     paths: dict[str, str]
@@ -43,6 +44,7 @@ class Run:
     silver: str = "silver"
     gold: str = "gold"
     trees: int = models.TREES
+    by_key: bool = False
     model_dir: str | None = None
     counts: dict[str, int] = field(default_factory=dict)
 
@@ -53,19 +55,16 @@ class Run:
 def load_bronze(spark: SparkSession, run: Run) -> None:
     """The four raw files as tables; dates are parsed where there are any.
 
-    Text that is no day-first date becomes null, and silver drops the row. The
-    audit says how many there were, counted while the table is written.
+    Text that is no day-first date becomes null, and silver drops the row. Such rows are
+    kept as they came, with the reason, in a table of rejects.
     """
     for table in S.RAW_TYPES:
         raw = read_strict(spark, run.paths[table], table)
         if S.DATE not in raw.columns:
             run.write(raw, run.bronze, table)
             continue
-        bad = Observation()
-        lost = F.col(S.DATE).isNotNull() & day(S.DATE).isNull()
-        seen = raw.observe(bad, F.count_if(lost).alias("lost"))
-        run.write(seen.withColumn(S.DATE, day(S.DATE)), run.bronze, table)
-        run.counts[f"{run.bronze}.{table}.unparsed_dates"] = int(bad.get["lost"])
+        run.write(raw.withColumn(S.DATE, day(S.DATE)), run.bronze, table)
+        run.write(rejects(raw), run.bronze, f"{table}_rejects")
 
 
 def build_silver(spark: SparkSession, run: Run) -> None:
@@ -78,7 +77,8 @@ def build_silver(spark: SparkSession, run: Run) -> None:
 
 
 def build_gold(spark: SparkSession, run: Run) -> None:
-    daily = daily_metrics(
+    join = daily_metrics_by_key if run.by_key else daily_metrics
+    daily = join(
         spark.table(f"{run.silver}.{SILVER_PERFORMANCE}"),
         spark.table(f"{run.silver}.{SILVER_BUDGET}"),
         spark.table(f"{run.silver}.{SILVER_CONVERSIONS}"),

@@ -15,6 +15,8 @@ def _scan(spark: SparkSession, path: str, table: str) -> DataFrame:
         spark.read.schema(S.raw_schema(table))
         .option("header", True)
         .option("enforceSchema", False)
+        # A quote inside quoted text is doubled; a backslash is text.
+        .option("escape", '"')
         .csv(path)
     )
 
@@ -46,9 +48,16 @@ def read_tolerant(spark: SparkSession, path: str, table: str) -> DataFrame:
         raise
 
 
-def unparsed_dates(raw: DataFrame, date_col: str = S.DATE) -> DataFrame:
-    """Rows whose date text is present but not a day-first date."""
-    return raw.filter(F.col(date_col).isNotNull() & day(date_col).isNull())
+def rejects(raw: DataFrame, date_col: str = S.DATE) -> DataFrame:
+    """Rows that can't be loaded as they are, with `reason`.
+
+    A date is accepted as day, month and year with slashes, each with or without a
+    leading zero. Other date texts, such as 2024-08-01 or 01-08-2024, are rejected.
+    """
+    if date_col not in raw.columns:
+        return raw.filter(F.lit(False)).withColumn("reason", F.lit(""))
+    lost = F.col(date_col).isNotNull() & day(date_col).isNull()
+    return raw.filter(lost).withColumn("reason", F.lit(f"{date_col} is no d/M/yyyy date"))
 
 
 def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:

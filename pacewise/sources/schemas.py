@@ -14,6 +14,7 @@ CONVERSIONS = "conversion_events"
 AUDIENCE = "audience_segments"
 
 # Column order of the four raw files and the type each column is cast to.
+# Column names and types of the raw files.
 RAW_TYPES: dict[str, dict[str, str]] = {
     PERFORMANCE: {
         "date": "string",

@@ -90,7 +90,9 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """One header per file; quotes are doubled and white space is kept."""
+    options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(**options).csv(path)
 
 
 def export_json(df: DataFrame, path: str) -> None:

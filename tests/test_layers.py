@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pacewise.functions.measures import day
-from pacewise.operators import clean, conformed, quality, rolled, skew
+from pacewise.operators import clean, conformed, quality, ranks, rolled, skew, split
 from pacewise.operators import windows as win
 from pacewise.sources import readers, schemas as S
 from samples import write
@@ -61,7 +61,7 @@ def test_budget_and_conversions_are_cleaned(silver):
     assert rows["C2"]["attribution_window"] == "7_day_click"
 
 
-@pytest.mark.parametrize("hot", [{}, {"hot_rows": 0.5, "shares": 1e12}])
+@pytest.mark.parametrize("hot", [{}, {"rows_per_part": 0.5}])
 def test_daily_metrics_join_every_row(silver, hot):
     rows = conformed.daily_metrics(*silver, **hot).collect()
     keys = sorted((str(r["date"]), r["ad_set_id"] or "") for r in rows)
@@ -179,18 +179,64 @@ def test_training_table(bronze):
     assert rows[(d(1), "A2")]["aud_daily_budget"] == 0.0
 
 
-@pytest.mark.parametrize("hot_rows, shares", [(1, 1e9), (3, 1e9), (1_000_000, 1024)])
-def test_salted_join_equals_the_plain_join(spark, hot_rows, shares):
+@pytest.mark.parametrize("limit, piece", [(1, 1), (3, 2), (10, 100_000), (1_000_000, 100_000)])
+def test_salted_join_equals_the_plain_join(spark, limit, piece):
     spine = spark.range(6).withColumn("name", F.concat(F.lit("k"), "id"))
     left = spark.range(60).selectExpr("CASE WHEN id < 40 THEN 1 ELSE id % 5 END AS id", "id AS l")
     right = spark.range(30).selectExpr("CASE WHEN id < 9 THEN 1 ELSE id % 4 END AS id", "id AS r")
+    right = right.unionAll(spark.range(25).selectExpr("1L AS id", "77L AS r"))  # copies
     want = spine.join(left, "id", "left").join(right, "id", "left")
-    got = skew.join_many(spine, [left, right], ["id"], hot_rows=hot_rows, shares=shares)
+    got = skew.join_many(spine, [left, right], ["id"], rows_per_part=limit, copies_per_piece=piece)
     columns = ["id", "name", "l", "r"]
     assert got.select(columns).exceptAll(want.select(columns)).isEmpty()
     assert want.select(columns).exceptAll(got.select(columns)).isEmpty()
 
 
+def _largest_task(df) -> float:
+    """Share of the rows in the fullest partition."""
+    rows = df.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    return max(r["count"] for r in rows) / sum(r["count"] for r in rows)
+
+
+@pytest.fixture
+def even_partitions(spark):
+    """Partitions as the plan deals them: none joined or split at run time."""
+    names = ["spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold"]
+    before = {n: spark.conf.get(n) for n in names}
+    for name, value in zip(names, ["false", "8", "-1"]):
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def test_copies_of_one_row_are_spread_over_tasks(spark, even_partitions):
+    spine = spark.range(1)
+    copies = spark.range(4000).selectExpr("0L AS id", "1 AS value")
+    out = skew.join_many(spine, [copies], ["id"], rows_per_part=100, copies_per_piece=10)
+    assert out.count() == 4000 and _largest_task(out) < 0.3
+
+
+def test_a_key_over_the_limit_is_split_whatever_the_total(spark, even_partitions):
+    spine = spark.range(1)
+    rows = spark.range(4000).selectExpr("0L AS id", "id AS value")
+    out = skew.join_many(spine, [rows], ["id"], rows_per_part=500)
+    assert out.count() == 4000 and _largest_task(out) < 0.4
+
+
+def test_repeated_keys_are_spread_over_the_buckets(spark, even_partitions):
+    one_key = spark.range(4000).selectExpr("'A' AS ad_set_id", "DATE'2024-08-01' AS date", "id % 2 AS y", "id AS x")
+    folds = split.stratified_folds(one_key, "y")
+    assert _largest_task(folds) < 0.3
+    assert sorted(r["count"] for r in folds.groupBy("y", "fold").count().collect()) == [400] * 10
+    copies = one_key.withColumn("x", F.lit(1))
+    placed = ranks.hash_position(copies, copies.columns, ["y"], bucket_rows=100)
+    assert _largest_task(placed) < 0.3
+    for y in (0, 1):
+        got = placed.filter(F.col("y") == y).select("position").collect()
+        assert sorted(r[0] for r in got) == list(range(2000))
+
+
 def test_quality_report(spark):
     df = spark.createDataFrame(
         [(1, 2.0, "a"), (2, None, None), (3, float("nan"), "c")], "n int, x double, s string"

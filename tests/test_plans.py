@@ -36,7 +36,7 @@ def test_conformed_plan_on_the_small_sample(spark, tmp_path):
     assert saved["model"] == "bookings"
 
 
-def test_unparsed_dates_are_counted(spark, tmp_path):
+def test_rows_with_unparsed_dates_are_kept_apart(spark, tmp_path):
     paths = write(tmp_path)
     with open(paths[S.BUDGET], "a", encoding="utf-8") as f:
         f.write("2024-08-09,A1,1,1,1.0,on_pace\n31/02/2024,A1,1,1,1.0,on_pace\n")
@@ -44,8 +44,11 @@ def test_unparsed_dates_are_counted(spark, tmp_path):
     spark.sql("CREATE SCHEMA IF NOT EXISTS u_bronze")
     conformed.load_bronze(spark, run)
     assert run.counts["u_bronze.budget_pacing"] == 10
-    assert run.counts["u_bronze.budget_pacing.unparsed_dates"] == 2
-    assert run.counts["u_bronze.conversion_events.unparsed_dates"] == 0
+    assert run.counts["u_bronze.budget_pacing_rejects"] == 2
+    assert run.counts["u_bronze.conversion_events_rejects"] == 0
+    lost = spark.table("u_bronze.budget_pacing_rejects").select("date", "reason").collect()
+    assert sorted(r["date"] for r in lost) == ["2024-08-09", "31/02/2024"]
+    assert {r["reason"] for r in lost} == {"date is no d/M/yyyy date"}
 
 
 def test_conformed_plan_needs_rows(spark, tmp_path):

@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -94,43 +93,56 @@ def test_summary_falls_back(spark, points, want):
     assert df.select(text.summary(F.col("p"))).first()[0] == want
 
 
-TEXTS = [
-    None,
-    "",
-    "   ",
-    "- - - ",
-    "spend $5 - raise caps\n\n- trim B • test new  ads - too many",
-    "no bullets, a non-breaking space and a hyphen-in-word",
-    "x" * 700 + " - " + "\U0001f600" * 301,
-    "- lone dash at the end -",
-    "".join(c + "w" for c in map(chr, range(0x3001)) if c.isspace()) + " -\u3000next",
-    "\x1ctab\tand\x85next - b c",
+CLEANED = [
+    (None, "- No suggestions"),
+    ("", "- No suggestions"),
+    ("   ", "-  "),
+    ("- - - ", "- - - - "),
+    ("spend $5 - raise caps\n\n- trim B \u2022 test new  ads - too many", "- spend £5\n- raise caps\n- trim B"),
+    ("no bullets, a non-breaking\u00a0space and a hyphen-in-word", "- no bullets, a non-breaking space and a hyphen-in-word"),
+    ("x" * 700 + " - " + "\U0001f600" * 301, "- " + "x" * 300 + "\n- " + "\U0001f600" * 300),
+    ("- lone dash at the end -", "- lone dash at the end -"),
+    ("one\u2003two -\u3000next", "- one two\n- next"),
+    ("\x1ctab\tand\x85next - b\u2028c", "- tab and next\n- b c"),
 ]
 
 
-def by_hand(t: str | None) -> str:
-    """What the cleaned text must be, spelled out step by step."""
-    if not t:
-        return "- No suggestions"
-    flat = re.sub(r"\s+", " ", t.replace("$", "£"))
-    parts = [p.strip() for p in re.split(r"\s*[-•]\s+", flat)]
-    parts = [p for p in parts if p][:3] or [flat]
-    return "\n".join("- " + p[:300] for p in parts)
-
-
 def test_suggestions_are_cleaned(spark):
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "i int, t string")
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(CLEANED)], "i int, t string")
     got = {r[0]: r[1] for r in df.select("i", text.clean_suggestions("t")).collect()}
-    assert got == {i: by_hand(t) for i, t in enumerate(TEXTS)}
+    assert got == {i: want for i, (_, want) in enumerate(CLEANED)}
+
+
+FORMATTED = [
+    (None, "£0", "0%"),
+    (0.0, "£0", "0.0%"),
+    (0.5, "£0", "50.0%"),
+    (1.5, "£2", "1.5%"),
+    (2.5, "£2", "2.5%"),
+    (-0.4, "£-0", "-40.0%"),
+    (1234567.5, "£1,234,568", "1234567.5%"),
+    (0.1225, "£0", "12.2%"),
+    (1.0, "£1", "100.0%"),
+    (12.25, "£12", "12.2%"),
+    (1e7, "£10,000,000", "10000000.0%"),
+]
 
 
 def test_formats(spark):
-    values = [None, 0.0, 0.5, 1.5, 2.5, -0.4, 1234567.5, 0.1225, 1.0, 12.25, 1e7]
-    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x double")
-    rows = {r["i"]: r for r in df.select("i", text.pounds("x").alias("p"), text.percent("x").alias("s")).collect()}
-    for i, v in enumerate(values):
-        assert rows[i]["p"] == ("£0" if v is None else f"£{v:,.0f}")
-        assert rows[i]["s"] == ("0%" if v is None else f"{v * 100:.1f}%" if v <= 1 else f"{v:.1f}%")
+    df = spark.createDataFrame([(i, v) for i, (v, _, _) in enumerate(FORMATTED)], "i int, x double")
+    got = df.orderBy("i").select(text.pounds("x"), text.percent("x")).collect()
+    assert [tuple(r) for r in got] == [(p, s) for _, p, s in FORMATTED]
+
+
+def test_rows_without_a_key_are_in_no_group(spark):
+    rows = [("A", dt.date(2024, 8, 1), 10.0, 10.0), ("A", dt.date(2024, 8, 2), 20.0, 20.0),
+            (None, dt.date(2024, 8, 2), 5.0, 5.0), ("A", None, 90.0, 90.0)]
+    df = spark.createDataFrame(rows, "ad_set_id string, date date, spend double, revenue double")
+    assert [r["ad_set_id"] for r in report.roas_by_ad_set(df).collect()] == ["A"]
+    days = report.daily_with_average(df, 2).orderBy("date").collect()
+    assert [(r["spend"], r["spend_ma2"]) for r in days] == [(10.0, 10.0), (25.0, 17.5)]
+    change = report.first_to_last_change(df.filter("ad_set_id = 'A'")).first()
+    assert change["spend_change"] == pytest.approx(100.0)
 
 
 def test_bullets(spark):

@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from pacewise.functions.measures import day
 from pacewise.sources import readers, schemas as S, tables
@@ -48,7 +49,9 @@ def test_cast_all_but_keys_makes_text_columns_null(spark, paths):
 
 def test_bad_dates_are_listed_and_strict_parsing_raises(spark):
     df = spark.createDataFrame([("01/08/2024",), ("2024-08-01",), (None,)], "date string")
-    assert [r["date"] for r in readers.unparsed_dates(df).collect()] == ["2024-08-01"]
+    found = readers.rejects(df).collect()
+    assert [(r["date"], r["reason"]) for r in found] == [("2024-08-01", "date is no d/M/yyyy date")]
+    assert readers.rejects(df.select(F.lit(1).alias("x"))).isEmpty()
     with pytest.raises(Exception, match="(?i)parse"):
         df.select(day("date", strict=True)).collect()
 
@@ -66,6 +69,19 @@ def test_tables_are_replaced_counted_and_found(spark):
     assert spark.table("scratch.audit").first()["row_count"] == 4
 
 
+def test_quoted_text_keeps_its_columns(spark, tmp_path):
+    path = tmp_path / "audience.csv"
+    path.write_text(
+        ",".join(S.RAW_TYPES[S.AUDIENCE]) + "\n"
+        'A1,"The ""Big"", one",25-45,"back\\slash, and \\"" quote",vip,500\n',
+        encoding="utf-8",
+    )
+    row = readers.read_strict(spark, str(path), S.AUDIENCE).first()
+    assert tuple(row) == ("A1", 'The "Big", one', "25-45", 'back\\slash, and \\" quote', "vip", "500")
+    tables.export_csv(readers.read_strict(spark, str(path), S.AUDIENCE), str(tmp_path / "out"))
+    assert readers.read_strict(spark, str(tmp_path / "out"), S.AUDIENCE).first() == row
+
+
 def test_exports_and_empty_guard(spark, tmp_path):
     df = spark.range(3).selectExpr("id", "'a,b' AS text")
     tables.export_csv(df, str(tmp_path / "csv"))
