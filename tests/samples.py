@@ -51,10 +51,35 @@ FILES = {
 }
 
 
+def regular(folder: Path) -> dict[str, str]:
+    """Six ad sets over twenty days: spend 10, 20, ... 60 a day, one booking of three times that.
+
+    Pacing is 0.85 on odd days and 1.0 on even ones.
+    """
+    days = [(n, f"{n:02}/08/2024") for n in range(1, 21)]
+    ads = range(1, 7)
+    rows = {
+        S.PERFORMANCE: [f"{d},A{i},Ad {i},{1000 * i},{10 * i},{10 * i},0,0,1.0" for _, d in days for i in ads],
+        S.BUDGET: [
+            f"{d},A{i},100,{85 if n % 2 else 100},{0.85 if n % 2 else 1.0},{'under_pacing' if n % 2 else 'on_pace'}"
+            for n, d in days for i in ads
+        ],
+        S.CONVERSIONS: [
+            f"C{n}-{i},{d},A{i},booking_completed,{30 * i},1_day_click,x" for n, d in days for i in ads
+        ],
+        S.AUDIENCE: [f"A{i},Ad {i},25-45,city,vip,{100 * i}" for i in ads],
+    }
+    return _write(folder, {t: "\n".join(lines) + "\n" for t, lines in rows.items()})
+
+
 def write(folder: Path) -> dict[str, str]:
     """Write the four files, with a byte order mark, and return their paths."""
+    return _write(folder, FILES)
+
+
+def _write(folder: Path, files: dict[str, str]) -> dict[str, str]:
     paths = {}
-    for table, body in FILES.items():
+    for table, body in files.items():
         path = folder / f"{table}.csv"
         path.write_text("﻿" + ",".join(S.RAW_TYPES[table]) + "\n" + body, encoding="utf-8")
         paths[table] = str(path)

@@ -1,14 +1,8 @@
-"""Both end-to-end plans, on the small sample and, where given, on the published one.
-
-PACEWISE_SAMPLE_DIR names a folder with the four published raw files; the expected
-values are those of FIXTURES.md.
-"""
+"""Both end-to-end plans, on the small sample and on a regular one with known totals."""
 
 from __future__ import annotations
 
 import datetime as dt
-import os
-from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,11 +11,7 @@ from pacewise.operators import quality, report, rolled as rolled_ops, split, wha
 from pacewise.plans import conformed, rolled
 from pacewise.sources import schemas as S
 from pacewise.sources.tables import table_exists
-from samples import write
-
-PUBLISHED = os.environ.get("PACEWISE_SAMPLE_DIR")
-published = pytest.mark.skipif(not PUBLISHED, reason="PACEWISE_SAMPLE_DIR is not set")
-
+from samples import regular, write
 
 def test_conformed_plan_on_the_small_sample(spark, tmp_path):
     run = conformed.Run(write(tmp_path), "c_bronze", "c_silver", "c_gold", trees=2, model_dir=str(tmp_path / "m"))
@@ -75,79 +65,69 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def _published() -> dict[str, str]:
-    return {t: str(Path(PUBLISHED) / f"{t}.csv") for t in S.RAW_TYPES}
-
-
-@published
-def test_conformed_plan_on_the_published_sample(spark, tmp_path):
-    run = conformed.Run(_published(), "pc_bronze", "pc_silver", "pc_gold", trees=20)
+def test_conformed_plan_on_the_regular_sample(spark, tmp_path):
+    run = conformed.Run(regular(tmp_path), "pc_bronze", "pc_silver", "pc_gold", trees=3)
     result = conformed.run_all(spark, run)
     counts = run.counts
-    assert counts["pc_silver.slv_meta_campaign_performance"] == 128
-    assert counts["pc_silver.slv_budget_pacing"] == 126
-    assert counts["pc_silver.slv_conversion_events"] == 319
-    assert counts["pc_gold.gld_daily_metrics"] == 128
+    assert counts["pc_silver.slv_meta_campaign_performance"] == 120
+    assert counts["pc_silver.slv_budget_pacing"] == counts["pc_silver.slv_conversion_events"] == 120
+    assert counts["pc_gold.gld_daily_metrics"] == 120
     gold = spark.table("pc_gold.gld_daily_metrics")
-    silver = spark.table("pc_silver.slv_meta_campaign_performance")
-    row = silver.agg(F.sum("spend"), F.avg("ctr"), F.avg("cpm")).first()
-    assert tuple(row) == pytest.approx((38160.11, 1.962957, 7.034837), abs=1e-4)
-    assert quality.key_count(gold, S.KEYS).first()["key_count"] == 126
+    assert quality.key_count(gold, S.KEYS).first()["key_count"] == 120
+    # 10 a day and step of 1 to 6, for 20 days; three times that comes in.
     kpis = report.kpi_totals(gold).first()
-    assert kpis["revenue_total"] == pytest.approx(342799.25)
-    assert kpis["bookings_total"] == 244 and kpis["roas_overall"] == pytest.approx(8.9832, abs=1e-4)
-    assert gold.agg(F.sum("soft_conversions")).first()[0] == 80
-    assert gold.filter("roas IS NULL").count() == 1 and gold.filter("cpa IS NULL").isEmpty()
+    assert kpis["spend_total"] == pytest.approx(4200) and kpis["revenue_total"] == pytest.approx(12600)
+    assert kpis["bookings_total"] == 120 and kpis["roas_overall"] == pytest.approx(3)
     mix = report.pacing_totals(gold, S.PACING_STATUSES).first()
-    assert (mix["on_pace"], mix["under_pacing"], mix["over_pacing"]) == (73, 49, 6)
+    assert (mix["under_pacing"], mix["on_pace"], mix["over_pacing"]) == (60, 60, 0)
     dq = {r["column_name"]: r for r in spark.table("pc_gold.data_quality_report").collect()}
-    assert dq["impressions"]["std"] == pytest.approx(13420.978602)
-    assert dq["spend"]["mean"] == pytest.approx(298.125859)
-    assert dq["roas"]["null_fraction"] == 0.0078125
-    assert dq["budget_utilization"]["std"] == pytest.approx(0.156781, abs=1e-6)
-    per_ad = {r["ad_set_id"]: r["roas"] for r in report.roas_by_ad_set(gold).collect()}
-    assert per_ad["AS_005"] == pytest.approx(20.894885) and per_ad["AS_004"] == pytest.approx(1.621832)
-    week = report.roas_by_ad_set(report.last_days(gold, 7))
-    bounds = report.roas_quartiles(week).first()
-    assert (bounds["q1"], bounds["q3"]) == pytest.approx((4.12452, 9.281771), abs=1e-5)
-    summary = whatif.reallocation_summary(whatif.reallocation(week)).first()
-    assert summary["base_revenue"] == pytest.approx(115022.75)
-    assert summary["projected_revenue"] == pytest.approx(130279.23, abs=0.01)
-    assert summary["spend_delta"] == pytest.approx(924.29, abs=0.01)
+    assert dq["spend"]["mean"] == pytest.approx(35) and dq["impressions"]["max"] == 6000
+    assert dq["ctr"]["mean"] == pytest.approx(1) and dq["roas"]["null_fraction"] == 0
     parts = split.row_fraction_split(gold).groupBy("split").count().collect()
-    assert {r["split"]: r["count"] for r in parts} == {"train": 102, "test": 26}
-    assert result["bookings"]["metrics"]["r2"] > 0
+    assert {r["split"]: r["count"] for r in parts} == {"train": 96, "test": 24}
+    # Every day has one booking, and any model says so.
+    assert result["bookings"]["metrics"]["mae"] == pytest.approx(0, abs=1e-6)
+    summary = whatif.reallocation_summary(whatif.reallocation(report.roas_by_ad_set(gold))).first()
+    assert summary["base_revenue"] == pytest.approx(12600)
+
+
+def test_a_plan_can_have_gold_by_key(spark, tmp_path):
+    run = conformed.Run(write(tmp_path), "k_bronze", "k_silver", "k_gold", by_key=True)
+    from pacewise.sources.tables import ensure_layers
+
+    ensure_layers(spark, ["k_bronze", "k_silver", "k_gold"])
+    conformed.load_bronze(spark, run)
+    conformed.build_silver(spark, run)
+    conformed.build_gold(spark, run)
+    quality.require_unique(spark.table("k_gold.gld_daily_metrics"), S.KEYS, "daily")
+    assert run.counts["k_gold.gld_daily_metrics"] == 12
 
 
-@published
-def test_rolled_plan_on_the_published_sample(spark, tmp_path):
-    run = rolled.Run(_published(), "pr_bronze", "pr_silver", "pr_gold", trees=3, cv_folds=2, allow_leaky=True, model_dir=str(tmp_path / "m"))
+def test_rolled_plan_on_the_regular_sample(spark, tmp_path):
+    run = rolled.Run(
+        regular(tmp_path), "pr_bronze", "pr_silver", "pr_gold", trees=2, cv_folds=2,
+        allow_leaky=True, model_dir=str(tmp_path / "m"),
+    )
     info = rolled.run_all(spark, run)
     _check_rolled(spark, "pr_gold", "pr_silver")
-    daily = spark.table("pr_silver.silver_daily")
-    kpis = report.kpi_totals(daily.withColumn("bookings", F.lit(0))).first()
-    assert kpis["spend_total"] == pytest.approx(38975.12) and kpis["roas_overall"] == pytest.approx(8.661391)
     dq = {r["column_name"]: r for r in spark.table("pr_silver.dq_summary").collect()}
-    assert dq["spend"]["std"] == pytest.approx(95.105864)
-    assert dq["impressions"]["max"] == 140240
-    assert dq["pacing_ratio"]["mean"] == pytest.approx(0.80873, abs=1e-5)
+    assert dq["pacing_ratio"]["mean"] == pytest.approx(0.925)
+    # Days 1 to 13 see eight days of one conversion each, the last seven see 7 to 1.
     conv = spark.table("pr_gold.adset_conversions_7d")
-    assert tuple(conv.agg(F.sum("conv_7d"), F.min("conv_7d"), F.max("conv_7d")).first()) == (2151, 2, 26)
+    assert tuple(conv.agg(F.sum("conv_7d"), F.min("conv_7d"), F.max("conv_7d")).first()) == (792, 1, 8)
     bands = report.pacing_totals(spark.table("pr_gold.adset_pacing")).first()
-    assert (bands["under"], bands["on"], bands["over"]) == (77, 49, 0)
+    assert (bands["under"], bands["on"], bands["over"]) == (60, 60, 0)
     train = spark.table("pr_gold.training_dataset")
-    assert report.class_balance(train, "label_under_pacing_next").first()["pos"] == 75
-    assert train.agg(F.sum("conv_next7d_label")).first()[0] == 126
+    # Nine even days are followed by an odd one, which is under.
+    assert report.class_balance(train, "label_under_pacing_next").first()["pos"] == 54
     parts = split.date_fraction_split(train)
-    assert {r["split"]: r["row_count"] for r in split.window_dates(parts).collect()} == {"train": 96, "valid": 30}
-    assert info["risk"]["train_end"] == "2024-08-16"
-    averages = report.daily_with_average(train).orderBy(F.desc("date")).limit(3).collect()
-    assert [r["spend_ma7"] for r in averages] == pytest.approx([1906.1643] * 3, abs=1e-4)
-    week = report.last_days(train, 7)
-    plan = whatif.reallocation(report.roas_by_ad_set(week, S.MIN_IMPRESSIONS), curve="linear")
-    summary = whatif.reallocation_summary(plan).first()
-    assert summary["base_revenue"] == pytest.approx(111777.0)
-    assert summary["uplift"] == pytest.approx(-8037.6, abs=0.01)
+    assert {r["split"]: r["row_count"] for r in split.window_dates(parts).collect()} == {"train": 96, "valid": 24}
+    assert info["risk"]["train_end"] == "2024-08-16" and info["risk"]["holdout_auc"] > 0.6
+    assert set(info["rate"]) >= {"cv_r2_mean", "cv_mae_mean", "holdout_mae", "holdout_r2"}
+    averages = report.daily_with_average(train).collect()
+    assert {round(r["spend_ma7"], 6) for r in averages} == {210.0}
+    assert spark.table("pr_gold.scored_conversions").count() == 120
+    assert spark.read.json(str(tmp_path / "m" / "conversion_rate_report")).first()["model"] == "conversion_rate"
 
 
 def test_rolled_plan_on_the_small_sample(spark, tmp_path):
