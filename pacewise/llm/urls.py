@@ -80,11 +80,18 @@ def tokens(host: Column, path: Column, url: Column) -> Column:
         F.transform(F.split(query, "&"), lambda x: F.regexp_extract(x, r"(?s)^[^=]*", 0)),
         lambda x: x != "",
     )
-    marked = [
-        F.transform(found, lambda x, m=mark: F.concat(F.lit(m), x))
-        for mark, found in (("under:", parents), ("word:", words), ("path:", parts), ("key:", keys))
-    ]
-    return F.array_distinct(F.concat(*marked))
+
+    def marked(mark: str, found: Column) -> Column:
+        return F.transform(found, lambda x: F.concat(F.lit(mark), x))
+
+    return F.array_distinct(
+        F.concat(
+            marked("under:", parents),
+            marked("word:", words),
+            marked("path:", parts),
+            marked("key:", keys),
+        )
+    )
 
 
 def mine(
