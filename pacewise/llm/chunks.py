@@ -105,10 +105,17 @@ def exact_groups(
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that stay, all columns, a repeated row once.
 
-    Rows without an id stay only where their group has no row with one.
+    Rows without an id stay only where their group has no row with one, then once.
     """
     kept = exact_groups(docs, id_col, text_col).where("kept")
-    kept = kept.select(F.col("doc_id").alias("kept_id"), F.lit(1).alias("one")).distinct()
+    # Only rows without an id need the digest to tell them apart.
+    kept = kept.select(
+        F.col("doc_id").alias("_kept_id"),
+        F.when(F.col("doc_id").isNull(), F.col("text_sha256")).alias("_kept_text"),
+    ).distinct()
+    digest = F.when(F.col(id_col).isNull(), F.sha2(ascii_lower(F.col(text_col)), 256))
     return docs.join(
-        kept, F.col(id_col).eqNullSafe(F.col("kept_id")), "left_semi"
+        kept,
+        F.col(id_col).eqNullSafe(F.col("_kept_id")) & digest.eqNullSafe(F.col("_kept_text")),
+        "left_semi",
     ).dropDuplicates([id_col, text_col])
