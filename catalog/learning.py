@@ -251,8 +251,90 @@ def _importances(spark: SparkSession, d: str) -> DataFrame:
     return report.importance_ranking(models.importances(model, features, spark))
 
 
+def _bookings_summary(spark: SparkSession, d: str) -> DataFrame:
+    scored = cut(_bookings(spark, d))
+    fitted = scored.filter(F.col("split") == split.TRAIN)
+    r2 = evaluate.regression_metrics(fitted, "target_bookings", "predicted").select("r2").scalar()
+    return scored.agg(
+        F.count(F.lit(1)).alias("rows_scored"),
+        F.count_if(F.col("predicted").isNull() | F.isnan("predicted")).alias("without_score"),
+    ).withColumn("better_than_mean", r2 > 0)
+
+
+def _risk_summary(spark: SparkSession, d: str) -> DataFrame:
+    table, training, features = _risk_frames(spark, d)
+    weight = models.positive_weight(training, RISK_LABEL)
+    model = models.fit_calibrated(training, features, RISK_LABEL, TREES, weight)
+    scored = cut(model.transform(table, "risk").select(RISK_LABEL, "risk"))
+    auc = evaluate.roc_auc(scored, RISK_LABEL, "risk").select("auc").scalar()
+    inside = F.coalesce(F.col("risk").between(0, 1), F.lit(False))
+    return scored.agg(
+        F.count(F.lit(1)).alias("rows_scored"), F.count_if(~inside).alias("outside")
+    ).withColumn("better_than_chance", auc > 0.5)
+
+
+def _rate_summary(spark: SparkSession, d: str) -> DataFrame:
+    return _rate(spark, d).agg(
+        F.count(F.lit(1)).alias("rows_scored"),
+        F.count_if(F.col(S.AD_SET).isNull()).alias("without_ad_set"),
+        F.count_if(F.col("conv_prob").isNull() | F.isnan("conv_prob")).alias("without_score"),
+    )
+
+
+def _importance_summary(spark: SparkSession, d: str) -> DataFrame:
+    return _importances(spark, d).agg(
+        F.count(F.lit(1)).alias("features"), F.sum("importance_pct").alias("total_pct")
+    )
+
+
+def _weights(spark: SparkSession, d: str) -> DataFrame:
+    """neg / pos of all rows, and of rows of one class only, where it is 1."""
+    table = cut(train(spark, d))
+    out = []
+    for what, rows in (("all", table), ("positives", table.filter(F.col(RISK_LABEL) == 1))):
+        weight = models.positive_weight(rows, RISK_LABEL)
+        n = rows.agg(F.count(F.lit(1)).alias("n"))
+        out.append(n.select(F.lit(what).alias("what"), "n", F.lit(float(weight)).alias("weight")))
+    return out[0].union(out[1])
+
+
 def fits(r: Registry) -> None:
-    """Fits have no SQL counterpart; the driver checks that they run."""
+    """Scores differ in digits from other libraries' trees; what must hold of them is compared."""
+    r.add(
+        "m01_m02_fit_summary",
+        _bookings_summary,
+        """SELECT count(*) AS rows_scored, count(*) FILTER (false) AS without_score,
+                  true AS better_than_mean FROM gld_training""",
+    )
+    r.add(
+        "m05_m07_m08_fit_summary",
+        _risk_summary,
+        """SELECT count(*) AS rows_scored, count(*) FILTER (false) AS outside,
+                  true AS better_than_chance FROM train""",
+    )
+    r.add(
+        "m02_m08_score_summary",
+        _rate_summary,
+        """SELECT count(*) AS rows_scored, count(*) FILTER (ad_set_id IS NULL) AS without_ad_set,
+                  count(*) FILTER (false) AS without_score FROM train""",
+    )
+    r.add(
+        "m14_importance_summary",
+        _importance_summary,
+        """SELECT 7::BIGINT AS features, 100.0::DOUBLE AS total_pct
+           FROM (SELECT count(*) AS n FROM train) WHERE n > 0""",
+        {"total_pct": 6},
+    )
+    r.add(
+        "m06_positive_weight",
+        _weights,
+        """SELECT 'all' AS what, count(*) AS n,
+                  count(*) FILTER (label_under_pacing_next = 0)::DOUBLE
+                  / count(*) FILTER (label_under_pacing_next = 1) AS weight FROM train
+           UNION ALL
+           SELECT 'positives', count(*), 1.0 FROM train WHERE label_under_pacing_next = 1""",
+        {"weight": 6},
+    )
     r.add("m01_m02_bookings_predictions", _bookings)
     r.add("m05_m06_m07_m08_under_pacing_risk", _risk)
     r.add("m02_m08_conversion_rate_scores", _rate)

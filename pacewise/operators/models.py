@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from statistics import fmean, pstdev
+from typing import TypeVar
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -28,6 +31,16 @@ COLUMN_SHARE = "0.9"
 CALIBRATION_FOLDS = 3
 CV_FOLDS = 5
 CHECKPOINT_EVERY = 10
+#: Folds fitted at the same time; Spark runs their jobs side by side.
+PARALLEL = 3
+
+Out = TypeVar("Out")
+
+
+def each_fold(fit: Callable[[int], Out], folds: int, parallel: int = PARALLEL) -> list[Out]:
+    """`fit` of every fold, some at a time, in the order of the folds."""
+    with ThreadPoolExecutor(max(1, min(parallel, folds))) as pool:
+        return list(pool.map(fit, range(folds)))
 
 
 def forward_looking(features: list[str]) -> list[str]:
@@ -175,6 +188,7 @@ def fit_calibrated(
     pos_weight: float = 1.0,
     folds: int = CALIBRATION_FOLDS,
     keys: list[str] | None = None,
+    parallel: int = PARALLEL,
 ) -> CalibratedRisk:
     """Isotonic calibration over stratified parts.
 
@@ -182,8 +196,8 @@ def fit_calibrated(
     same curve as the single rows and keeps its input small.
     """
     placed = cut(stratified_folds(df, label, folds, keys))
-    parts = []
-    for fold in range(folds):
+
+    def fit(fold: int) -> tuple[PipelineModel, IsotonicRegressionModel]:
         model = fit_classifier(
             placed.filter(F.col("fold") != fold), features, label, trees, pos_weight
         )
@@ -195,8 +209,9 @@ def fit_calibrated(
         curve = IsotonicRegression(
             featuresCol="_raw", labelCol="_rate", weightCol="_rows", predictionCol="_mapped"
         ).fit(points)
-        parts.append((model, curve))
-    return CalibratedRisk(features, parts)
+        return model, curve
+
+    return CalibratedRisk(features, each_fold(fit, folds, parallel))
 
 
 def cross_validate_risk(
@@ -207,11 +222,12 @@ def cross_validate_risk(
     pos_weight: float = 1.0,
     k: int = CV_FOLDS,
     keys: list[str] | None = None,
+    parallel: int = PARALLEL,
 ) -> dict[str, float]:
     """Mean and std of the AUC over stratified folds; one-class folds are skipped."""
     placed = cut(stratified_folds(df, label, k, keys))
-    aucs = []
-    for fold in range(k):
+
+    def auc_of(fold: int) -> float | None:
         model = fit_calibrated(
             placed.filter(F.col("fold") != fold).drop("fold"),
             features,
@@ -219,11 +235,12 @@ def cross_validate_risk(
             trees,
             pos_weight,
             keys=keys,
+            parallel=1,
         )
         held = placed.filter(F.col("fold") == fold)
-        auc = roc_auc(model.transform(held, "_score"), label, "_score").first()["auc"]
-        if auc is not None:
-            aucs.append(auc)
+        return roc_auc(model.transform(held, "_score"), label, "_score").first()["auc"]
+
+    aucs = [auc for auc in each_fold(auc_of, k, parallel) if auc is not None]
     if not aucs:
         return {"cv_auc_mean": float("nan"), "cv_auc_std": float("nan"), "folds": 0}
     return {"cv_auc_mean": fmean(aucs), "cv_auc_std": pstdev(aucs), "folds": len(aucs)}
@@ -236,17 +253,19 @@ def cross_validate_regressor(
     trees: int = TREES,
     k: int = CV_FOLDS,
     keys: list[str] | None = None,
+    parallel: int = PARALLEL,
 ) -> dict[str, float]:
     """Mean and std of R² and MAE over folds stratified on the binned target."""
     placed = cut(target_folds(df, target, k, keys))
-    maes, r2s = [], []
-    for fold in range(k):
+
+    def errors(fold: int) -> tuple[float | None, float | None]:
         model = fit_regressor(placed.filter(F.col("fold") != fold), features, target, trees)
         held = predict(model, placed.filter(F.col("fold") == fold), features, "_predicted")
         row = regression_metrics(held, target, "_predicted").first()
-        if row["mae"] is not None:
-            maes.append(row["mae"])
-            r2s.append(row["r2"])
+        return row["mae"], row["r2"]
+
+    found = [e for e in each_fold(errors, k, parallel) if e[0] is not None]
+    maes, r2s = [mae for mae, _ in found], [r2 for _, r2 in found]
     if not maes:
         nothing = float("nan")
         return dict.fromkeys(["cv_r2_mean", "cv_r2_std", "cv_mae_mean", "cv_mae_std"], nothing)
