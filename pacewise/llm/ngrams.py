@@ -349,7 +349,8 @@ def similarity_classes(
     total = placed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     together = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // TILE_SHINGLES))
     once = placed.select("first_id", "node", "second", "weight", "block", "parts")
-    chosen = texts.join(once, F.col("doc_id").eqNullSafe(F.col("first_id")))
+    # Texts of candidates are moved by id at every size, so that costs grow in proportion.
+    chosen = texts.join(once.hint("merge"), F.col("doc_id").eqNullSafe(F.col("first_id")))
     sets = _shingled(chosen.select("node", "second", "weight", "block", "parts", "text"), words)
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     partner = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
