@@ -13,13 +13,14 @@ from catalog.layers import (
     DAILY_DIGITS,
     _csv_folder,
     gld_daily,
+    pacing,
     perf,
     slv_budget,
     train,
     typed,
 )
 from catalog.registry import Registry
-from catalog.reports import AD_SETS, MONEY, _listed, _plan_sql
+from catalog.reports import AD_SETS, MONEY, WEEK_END, WEEK_START, _listed, _plan_sql
 from pacewise.operators import conformed, models, quality, report, whatif
 from pacewise.plans import conformed as conformed_plan
 from pacewise.plans import rolled as rolled_plan
@@ -72,6 +73,7 @@ def add_to(r: Registry) -> None:
     sinks(r)
     gold_reports(r)
     volumes(r)
+    payload_parts(r)
     checks(r)
 
 
@@ -417,6 +419,19 @@ def volumes(r: Registry) -> None:
     )
 
 
+def _payload_list(spark: SparkSession, d: str) -> DataFrame:
+    """The payload of a selection of ad sets, a row for each of its list."""
+    row = report.kpi_payload(
+        train(spark, d), pacing(spark, d), WEEK_START, WEEK_END, AD_SETS, min_impressions=1
+    )
+    return row.select(
+        "period",
+        F.col("kpis.spend_total").alias("spend_total"),
+        F.col("pacing_mix")["under"].alias("under"),
+        F.inline("roas_by_adset"),
+    )
+
+
 def _features(spark: SparkSession, d: str) -> DataFrame:
     """The features that the gate lets through, with their filled rows."""
     table = train(spark, d)
@@ -427,6 +442,38 @@ def _features(spark: SparkSession, d: str) -> DataFrame:
     return counts.select(F.inline(pairs))
 
 
+def payload_parts(r: Registry) -> None:
+    ids = ", ".join(f"'{a}'" for a in AD_SETS)
+    week = f"ad_set_id IN ({ids}) AND date BETWEEN '{WEEK_START}' AND '{WEEK_END}'"
+    r.add(
+        "g24_payload_with_list",
+        _payload_list,
+        f"""SELECT '{WEEK_START} to {WEEK_END}' AS period,
+                   (SELECT sum(spend) FROM train WHERE {week}) AS spend_total,
+                   (SELECT count(*) FROM pacing WHERE pacing_status = 'under' AND {week}) AS under,
+                   ad_set_id,
+                   CASE WHEN sum(spend) > 0 THEN sum(revenue) / sum(spend) ELSE 0::DOUBLE END AS roas,
+                   sum(spend) AS spend
+            FROM train WHERE {week} GROUP BY ad_set_id HAVING sum(impressions) >= 1""",
+        {"spend_total": 4, "spend": 4, "roas": 6},
+    )
+    r.add(
+        "g24_pacing_bands",
+        lambda s, d: report.pacing_payload(pacing(s, d)).select(
+            "days", F.explode("bands").alias("band", "bounds")
+        ),
+        """SELECT (SELECT count(DISTINCT date) FROM pacing) AS days, * FROM (VALUES
+               ('under', '<0.90'), ('on', '0.90–1.10'), ('over', '>1.10')) AS b(band, bounds)""",
+    )
+    r.add(
+        "g20_roas_spread_and_target",
+        lambda s, d: report.roas_spread(_per_ad_set(s, d), 3.0),
+        f"""SELECT count(*) AS adsets, max(roas) AS top_roas, min(roas) AS bottom_roas,
+                   median(roas) AS median_roas, 3.0::DOUBLE AS target FROM ({PER_AD})""",
+        {"top_roas": 6, "bottom_roas": 6, "median_roas": 6},
+    )
+
+
 def checks(r: Registry) -> None:
     r.add(
         "t04_importance_ranking",

@@ -190,15 +190,19 @@ def roas_table(rows: DataFrame) -> DataFrame:
     return rows.select(*ROAS_TITLES).withColumnsRenamed(ROAS_TITLES)
 
 
-def roas_spread(per_ad_set: DataFrame) -> DataFrame:
-    """Number of ad sets and their highest, lowest and median ROAS (0 when none)."""
+def roas_spread(per_ad_set: DataFrame, target: float | None = None) -> DataFrame:
+    """Number of ad sets and their highest, lowest and median ROAS (0 when none).
+
+    With `target`, the ROAS that is aimed at stands beside them.
+    """
     per_ad_set = cut(per_ad_set)
     median = exact_quantiles(per_ad_set, "roas", [0.5]).scalar()
-    return per_ad_set.agg(
+    spread = per_ad_set.agg(
         F.count(F.lit(1)).alias("adsets"),
         F.coalesce(F.max("roas"), F.lit(0.0)).alias("top_roas"),
         F.coalesce(F.min("roas"), F.lit(0.0)).alias("bottom_roas"),
     ).withColumn("median_roas", F.coalesce(F.get(median, F.lit(0)), F.lit(0.0)))
+    return spread if target is None else spread.withColumn("target", F.lit(float(target)))
 
 
 def roas_quartiles(per_ad_set: DataFrame) -> DataFrame:
@@ -234,8 +238,25 @@ def pacing_totals(df: DataFrame, statuses: list[str] | None = None) -> DataFrame
 # --- payloads and texts -----------------------------------------------------------
 
 
-def kpi_payload(df: DataFrame, pacing: DataFrame, start: date, end: date) -> DataFrame:
-    """One row: the period, a struct of KPI totals and a map of the pacing mix."""
+# The printed bounds of the bands.
+BAND_BOUNDS = {"under": "<0.90", "on": "0.90–1.10", "over": ">1.10"}
+
+
+def kpi_payload(
+    df: DataFrame,
+    pacing: DataFrame,
+    start: date,
+    end: date,
+    ad_sets: list[str] | None = None,
+    min_impressions: int = S.MIN_IMPRESSIONS,
+) -> DataFrame:
+    """One row: the period, a struct of KPI totals and a map of the pacing mix.
+
+    With `ad_sets`, the ad sets of a selection, all of it is of these, and the row also
+    has the list `roas_by_adset` of those with enough impressions, as long as the
+    selection at most. For lists without such a bound there is `ad_set_payload`.
+    """
+    df, pacing = select_rows(df, ad_sets), select_rows(pacing, ad_sets)
     days = (end - start).days + 1
     chosen = select_rows(df, start=start, end=end)
     kpis = chosen.agg(
@@ -245,10 +266,15 @@ def kpi_payload(df: DataFrame, pacing: DataFrame, start: date, end: date) -> Dat
     ).withColumn("roas_overall", ratio("revenue_total", "spend_total", empty=0.0))
     mix = pacing_totals(with_band(select_rows(pacing, start=start, end=end)))
     pairs = [x for band in S.PACING_BANDS for x in (F.lit(band), F.col(band))]
+    if ad_sets is not None:
+        rows = ad_set_payload(chosen, min_impressions)
+        listed = rows.agg(F.array_sort(F.collect_list("roas_by_adset"))).scalar()
+        kpis = kpis.withColumn("roas_by_adset", listed)
     return kpis.select(
         F.lit(f"{start} to {end}").alias("period"),
         F.struct("spend_total", "revenue_total", "bookings_total", "roas_overall").alias("kpis"),
         mix.select(F.create_map(*pairs)).scalar().alias("pacing_mix"),
+        *(["roas_by_adset"] if ad_sets is not None else []),
     )
 
 
@@ -280,10 +306,12 @@ def roas_payload(df: DataFrame, min_impressions: int = S.MIN_IMPRESSIONS, n: int
 
 
 def pacing_payload(pacing: DataFrame) -> DataFrame:
-    """One row: number of days and a map of the pacing totals."""
+    """One row: number of days, a map of the pacing totals and the bounds of the bands."""
     pairs = [x for band in S.PACING_BANDS for x in (F.lit(band), F.col(band))]
     return pacing_totals(with_band(pacing)).select(
-        "days", F.create_map(*pairs).alias("mix_totals")
+        "days",
+        F.create_map(*pairs).alias("mix_totals"),
+        F.create_map(*[F.lit(x) for pair in BAND_BOUNDS.items() for x in pair]).alias("bands"),
     )
 
 
