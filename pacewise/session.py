@@ -17,6 +17,8 @@ def local_session(cores: str = "*", app: str = "pacewise", **conf: str) -> Spark
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # Copies written by cut() go when nothing refers to them any more.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # No stack capture per column expression: plans are built a third faster.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
