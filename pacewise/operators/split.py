@@ -25,10 +25,10 @@ def row_fraction_split(
     day's rows are put in order, by a hash of `tie_break` (default: all columns),
     as the order inside a day is open.
     """
-    day = F.col(date_col)
-    upto = W.orderBy(F.asc_nulls_last(date_col)).rowsBetween(W.unboundedPreceding, 0)
+    day = F.to_date(date_col)  # a column of times has too many values for one window
+    upto = W.orderBy(F.asc_nulls_last("day")).rowsBetween(W.unboundedPreceding, 0)
     days = (
-        df.groupBy(date_col)
+        df.groupBy(day.alias("day"))
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("through", F.sum("n").over(upto))
         .withColumn("total", F.sum("n").over(W.partitionBy()))
@@ -39,8 +39,8 @@ def row_fraction_split(
     if boundary is None:
         return df.withColumn("split", F.lit(TRAIN))
     take = boundary["wanted"] - (boundary["through"] - boundary["n"])
-    last = F.lit(boundary[date_col]).cast(df.schema[date_col].dataType)
-    earlier = day.isNotNull() if boundary[date_col] is None else F.coalesce(day < last, F.lit(False))
+    last = F.lit(boundary["day"]).cast("date")
+    earlier = day.isNotNull() if boundary["day"] is None else F.coalesce(day < last, F.lit(False))
     settled = df.filter(~day.eqNullSafe(last)).withColumn(
         "split", F.when(earlier, F.lit(TRAIN)).otherwise(F.lit(TEST))
     )
