@@ -45,10 +45,12 @@ BOUNDS = frozenset("article aside blockquote body div dl main nav ol section tab
 WORDS = frozenset(
     "ad ads adv nav menu side footer header masthead banner notice notices alert social share "
     "sharing related reply replies respond popup modal overlay widget toolbar topbar login signup "
-    "search pager pagination consent gdpr disqus skip hidden tags meta byline".split()
+    "search pager pagination consent gdpr disqus skip hidden tags meta byline copyright legal "
+    "disclaimer trending popular ticker drawer dropdown".split()
 )
 BEGINS = ("advert", "cookie", "comment", "sidebar", "breadcrumb", "navbar", "navig", "newsletter",
           "sponsor", "promo", "subscri", "recommend")
+ENDINGS = ("nav", "menu", "menubar")
 #: In an article these words mark its own parts.
 OWN_WORDS = frozenset(("header", "meta", "byline", "tags", "banner", "hidden"))
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog".split())
@@ -81,15 +83,22 @@ def _is_furniture(tag: str, attributes: dict[str, str], inside: bool, by_class:
     for name in (attributes.get("class", ""), attributes.get("id", "")):
         for word in _WORD.findall(name):
             word = word.lower()
-            if word.startswith(BEGINS) or (word in WORDS and not (inside and word in OWN_WORDS)):
+            if word.startswith(BEGINS) or word.endswith(ENDINGS):
+                return True
+            if word in WORDS and not (inside and word in OWN_WORDS):
                 return True
     return False
 
 
 def _label(tag: str, attributes: dict[str, str]) -> str:
-    """Tag and classes; digits go, so that numbered classes are one."""
-    classes = sorted(set(re.sub(r"\d+", "", attributes.get("class", "")).split()))
-    return ".".join([tag, *classes])
+    """Tag and classes, or else the id; digits go, so that numbered ones are one."""
+    classes = sorted(set(re.sub(r"[\d/]+", "", attributes.get("class", "")).split()))
+    name = re.sub(r"[\d\s/]+", "", attributes.get("id", ""))
+    return ".".join([tag, *classes]) if classes or not name else f"{tag}#{name}"
+
+
+def _tag(label: str) -> str:
+    return re.split(r"[.#]", label, maxsplit=1)[0]
 
 
 def blocks(page: str, by_class: bool = True) -> list[Block]:
@@ -190,7 +199,7 @@ def _container(path: tuple[str, ...]) -> tuple[str, ...]:
     """The outermost article, else main, else what holds the block itself."""
     for wanted in ("article", "main"):
         for i, label in enumerate(path):
-            if label.partition(".")[0] == wanted:
+            if _tag(label) == wanted:
                 return path[: i + 1]
     return path[:-1] if len(path) > 1 else path
 
@@ -212,8 +221,8 @@ def best_path(found: list[Block]) -> tuple[tuple[str, ...], float] | None:
         return None
     best = max(scores, key=lambda p: (scores[p], -len(p), p))
     share = (scores[best] + 1) / (sizes[()] + 1)
-    while len(best) > 1 and best[-2].partition(".")[0] not in ("html", "body"):
-        if best[-1].partition(".")[0] in ("article", "main") or sizes[best[:-1]] > 1.25 * sizes[best]:
+    while len(best) > 1 and _tag(best[-2]) not in ("html", "body"):
+        if _tag(best[-1]) in ("article", "main") or sizes[best[:-1]] > 1.25 * sizes[best]:
             break
         best = best[:-1]
     return best, share

@@ -111,3 +111,17 @@ def test_reader_goes_member_by_member(monkeypatch):
 def test_broken_archives_are_refused(data):
     with pytest.raises((ValueError, warc.zlib.error)):
         read(data)
+
+
+@pytest.mark.parametrize("name", ["topnav", "sideMenu", "ad-slot", "Cookie_Banner", "user-comments", "site-header", "legal"])
+def test_furniture_by_its_name(name):
+    page = f"<body><div id=text><p>{'good words ' * 9}</p></div><div class='{name}'><p>bad words</p></div></body>"
+    assert articles.main_text(page) == ("good words " * 9).strip()
+    assert articles.main_text(page.replace("class=", "id=")) == ("good words " * 9).strip()
+
+
+def test_paths_survive_odd_names(spark):
+    page = "<body><article id='post-9/a'><h1>H</h1><div class='w-1/2'><p>text</p></div></article><p>more</p></body>"
+    found, _ = articles.best_path(articles.page_blocks(page))
+    assert found == ("html", "body", "article#post-a") or found == ("body", "article#post-a")
+    assert articles.main_text(page, "/".join(found)) == "H\ntext"
