@@ -318,10 +318,12 @@ def _links_of(
     tiles = (
         placed.withColumn("part", part)
         .withColumn("tile", F.explode(F.when(F.col("own"), owner).otherwise(guest)))
-        .select("cell", "block", "node", "weight", "packed", "tile.*")
+        # One name for a tile: rows that lie together by cell are dealt out anew.
+        .withColumn("name", F.concat_ws("|", "cell", "tile.p", "tile.q", "tile.guest"))
+        .select("name", "block", "node", "weight", "packed", "tile.role", "tile.inside")
     )
     return stored(
-        tiles.groupBy("cell", "p", "q", "guest").applyInArrow(
+        tiles.groupBy("name").applyInArrow(
             _verify(dims, cosine, blocks, kind), "a long, b long, n long"
         ),
         "links",
