@@ -26,12 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pacewise.llm.lexicon import Lexicon, compile_lexicon
-from pacewise.llm.store import ship_package
+from pacewise.llm.store import ship_package, stored
 
 #: Words in the lexicon, at most this many bytes long; both bound what reaches the driver.
 LEXICON_WORDS, LEXICON_BYTES = 131_072, 48
-#: Characters taken at a time, and distinct words counted or remembered by one task.
-SLICE_CHARS, COUNTED_WORDS, REMEMBERED = 1_500_000, 150_000, 100_000
+#: Characters taken at a time; what one task counts, and remembers, at most.
+SLICE_CHARS, COUNTED_WORDS, REMEMBERED = 2_500_000, 250_000, 250_000
 
 # White space and words of the vocabulary's pre-tokenizer.
 WHITE = "\t-\r \x85\xa0  -     　"
@@ -122,11 +122,6 @@ def _vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-@lru_cache(maxsize=1)
-def _lexicon(name: str) -> Lexicon:
-    return Lexicon(SparkFiles.get(name))
-
-
 def _texts(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[str]:
     for batch in batches:
         for text in batch.column(column):
@@ -167,13 +162,21 @@ def count_words(docs: DataFrame, tokenizer: str, text_col: str = "text") -> Data
 def build_lexicon(
     docs: DataFrame, tokenizer: str, text_col: str = "text", size: int = LEXICON_WORDS
 ) -> str:
-    """Compile the `size` most frequent words and give the file to all executors.
+    """Compile up to `size` of the most frequent words and give the file to all executors.
 
-    Returns the name under which SparkFiles knows it. The driver holds `size` words.
+    Returns the name under which SparkFiles knows it. Words are taken from a count on
+    under which at most `size` words lie, found from how many words have which count, on
+    a logarithmic scale; so the driver gets a histogram and then `size` words at most.
     """
     spark = docs.sparkSession
-    counts = count_words(docs, tokenizer, text_col)
-    top = counts.orderBy(F.desc("n"), "word").limit(size).select("word").collect()
+    counts = count_words(docs, tokenizer, text_col).where("n > 1")
+    counts = stored(counts.withColumn("scale", F.floor(F.log2("n") * 16)), "words")
+    least, room = None, size
+    for scale, words in counts.groupBy("scale").count().orderBy(F.desc("scale")).collect():
+        if words > room:
+            break
+        least, room = scale, room - words
+    top = counts.where(F.col("scale") >= F.lit(least)).select("word").collect() if least is not None else []
     vocabulary = Vocabulary(tokenizer)
     words = {bytes(r[0]): vocabulary.merge(bytes(r[0])) for r in top}
     return _share(spark, words)
@@ -197,11 +200,18 @@ def _gather(offsets: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 class Encoder:
-    """Encodes slices of documents; remembers what it had to merge, up to a bound."""
+    """Encodes slices of documents; remembers the pieces that it met, up to a bound."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon) -> None:
         self.vocabulary, self.lexicon = vocabulary, lexicon
         self.merged: dict[str, list[int]] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop all pieces: a row has its ids, between two offsets, and its tokens as text."""
+        self.rows: dict = {}
+        self.ids, self.offsets = np.zeros(0, np.int64), np.zeros(1, np.int64)
+        self.shown: list[str] = []
 
     def words(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct words as (flat ids, offsets)."""
@@ -232,12 +242,8 @@ class Encoder:
         flat[~old] = more[at[~old] - known]
         return flat, ends
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
-        """Flat ids, offsets by text, and the decoded texts."""
-        split = [self.vocabulary.words_of(t) for t in texts]
-        pieces = dict.fromkeys(chain.from_iterable(split))
-        for i, piece in enumerate(pieces):
-            pieces[piece] = i
+    def learn(self, pieces: list) -> None:
+        """Add rows for pieces between white space that have none."""
         parts: dict = {}
         sizes, spread = [], []
         for piece in pieces:
@@ -250,23 +256,37 @@ class Encoder:
         for i, special in specials:  # `?` is one token, so is a special one
             flat[offsets[i]] = special
         at, part_ends = _gather(offsets, np.array(spread, np.int64))
-        piece_offsets = part_ends[np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])]
-        piece_ids = flat[at]
+        ends = part_ends[np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])]
         tokens = self.vocabulary.tokens
-        names = [tokens[i] for i in piece_ids.tolist()]
-        bounds = piece_offsets.tolist()
-        shown = [" ".join(names[a:b]) for a, b in zip(bounds, bounds[1:])]
+        names = [tokens[i] for i in flat[at].tolist()]
+        bounds = ends.tolist()
+        self.shown += [" ".join(names[a:b]) for a, b in zip(bounds, bounds[1:])]
+        self.rows.update(zip(pieces, range(len(self.rows), len(self.rows) + len(pieces))))
+        self.ids = np.concatenate([self.ids, flat[at]])
+        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + ends[1:]])
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """Flat ids, offsets by text, and the decoded texts."""
+        split = [self.vocabulary.words_of(t) for t in texts]
+        if len(self.rows) > REMEMBERED:
+            self.forget()
+        new = set(chain.from_iterable(split)).difference(self.rows)
+        if new:
+            self.learn(list(new))
         lengths = np.fromiter(map(len, split), np.int64, len(split))
-        which = np.fromiter(
-            map(pieces.__getitem__, chain.from_iterable(split)), np.int64, int(lengths.sum())
-        )
-        at, ends = _gather(piece_offsets, which)
+        numbers = list(map(self.rows.__getitem__, chain.from_iterable(split)))
+        at, ends = _gather(self.offsets, np.array(numbers, np.int64))
         word_ends = np.concatenate([[0], np.cumsum(lengths)])
-        numbers, starts = which.tolist(), word_ends.tolist()
-        decoded = [
-            " ".join(map(shown.__getitem__, numbers[a:b])) for a, b in zip(starts, starts[1:])
-        ]
-        return piece_ids[at], ends[word_ends], decoded
+        starts = word_ends.tolist()
+        shown = self.shown.__getitem__
+        decoded = [" ".join(map(shown, numbers[a:b])) for a, b in zip(starts, starts[1:])]
+        return self.ids[at], ends[word_ends], decoded
+
+
+@lru_cache(maxsize=1)
+def _encoder(tokenizer: str, name: str) -> Encoder:
+    """One encoder for all tasks of a worker."""
+    return Encoder(_vocabulary(tokenizer), Lexicon(SparkFiles.get(name)))
 
 
 def _slices(texts: list[str], most: int) -> Iterator[list[str]]:
@@ -302,7 +322,7 @@ def encode(
     name = build_lexicon(docs, tokenizer, text_col, lexicon_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(_vocabulary(tokenizer), _lexicon(name))
+        encoder = _encoder(tokenizer, name)
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             at = 0
