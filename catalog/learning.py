@@ -14,7 +14,7 @@ from pacewise.plans.rolled import RATE_TARGET, RISK_LABEL
 from pacewise.session import cut
 from pacewise.sources import schemas as S
 
-TREES = 5
+TREES = models.TREES
 ROW_KEY = ["order_key", "line_number", "ad_set_id", "date"]
 
 
