@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pacewise.llm.components import components, forest
@@ -140,8 +140,16 @@ def _lists(flat: np.ndarray, offsets: np.ndarray) -> pa.ListArray:
     )
 
 
+def _digests(text: Column) -> list[Column]:
+    """Two 64-bit hashes that tell the texts of one id, or of rows without an id, apart."""
+    return [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")]
+
+
 def signatures(rows: DataFrame, words: int, trees: int, depth: int) -> DataFrame:
-    """(doc_id, k1, k2, n, prefixes) of rows (doc_id, text); a text without words has n = 0."""
+    """(doc_id, h1, h2, k1, k2, n, prefixes) of rows (doc_id, text, h1, h2).
+
+    A text without words has n = 0.
+    """
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,28 +164,39 @@ def signatures(rows: DataFrame, words: int, trees: int, depth: int) -> DataFrame
                 ends = np.concatenate([[0], np.cumsum(np.where(sizes > 0, trees, 0))])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").slice(a, b - a),
+                        *(batch.column(c).slice(a, b - a) for c in ("doc_id", "h1", "h2")),
                         pa.array(k1),
                         pa.array(k2),
                         pa.array(sizes),
                         _lists(keys.ravel(), ends),
                     ],
-                    names=["doc_id", "k1", "k2", "n", "prefixes"],
+                    names=["doc_id", "h1", "h2", "k1", "k2", "n", "prefixes"],
                 )
 
     return rows.mapInArrow(
-        sign, f"doc_id {kind}, k1 long, k2 long, n long, prefixes array<long>"
+        sign,
+        f"doc_id {kind}, h1 long, h2 long, k1 long, k2 long, n long, prefixes array<long>",
     )
 
 
 def _shingled(rows: DataFrame, words: int) -> DataFrame:
     """Rows (node, second, weight, block, text) with the shingles instead of the text.
 
-    Rows whose text has another set than the class `node` are left out.
+    Rows whose text has another set than the class `node` are left out. Of a repeated
+    row, whose copies meet in one task, the first stands for all.
     """
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
+
+        def first(pair: tuple[int, int]) -> bool:
+            new = pair not in seen
+            seen.add(pair)
+            return new
+
         for batch in batches:
+            pairs = zip(batch.column("node").to_pylist(), batch.column("second").to_pylist())
+            batch = batch.filter(pa.array(map(first, pairs), pa.bool_()))
             texts = [t or "" for t in batch.column("text").to_pylist()]
             nodes = batch.column("node").to_numpy(zero_copy_only=False)
             second = batch.column("second").to_numpy(zero_copy_only=False)
@@ -282,46 +301,46 @@ def _verify(words_threshold: float, trees: int, depth: int):
     return verify
 
 
-def similarity_classes(
+def _classes(
     docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    words: int = WORDS,
-    threshold: float = THRESHOLD,
-    recall: float = RECALL,
-    trees: int = TREES,
-) -> DataFrame:
-    """The links of every row: doc_id, n_links, class_id, kept.
-
-    Rows link if the Jaccard similarity of their sets of shingles is `threshold` or
-    more. n_links is how many other rows a row links with, copies included; class_id
-    is the smallest doc_id that links reach, itself included; kept is true for the row
-    that has this id. Every pair that is reported is verified on the whole sets. Pairs
-    at the threshold are found with probability `recall`, more similar ones with more.
-
-    Null texts and texts without words link with nothing and are kept. A text shorter
-    than a shingle is one shingle. Repeated rows are copies, each of which is returned;
-    rows without an id take part, but name a class only if it has no other row. Other
-    columns are not read; an empty table gives an empty result.
+    id_col: str,
+    text_col: str,
+    words: int,
+    threshold: float,
+    recall: float,
+    trees: int,
+) -> tuple[DataFrame, DataFrame]:
+    """The signatures of all rows, and for each set of shingles what it links with.
+
+    The latter is (node, second, first, root, weight, others): `first` names the row with
+    the smallest id by (no_id, doc_id, h1, h2), sets of one `root` are connected, `weight`
+    rows have the set and `others` link with it.
     """
     spark = docs.sparkSession
     ship_package(spark)
     depth = depth_for(recall, threshold, trees)
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    text = F.col(text_col)
+    texts = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), *_digests(text))
     signed = stored(signatures(texts, words, trees, depth), "signatures")
     # One class for each set; its first row stands for it.
     classes = stored(
         signed.where("n > 0")
         .groupBy("k1", "k2", "n")
-        .agg(F.min("doc_id").alias("first_id"), F.count("*").alias("weight"))
-        .select(F.col("k1").alias("node"), F.col("k2").alias("second"), "n", "first_id", "weight"),
+        .agg(
+            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h1", "h2")).alias(
+                "first"
+            ),
+            F.count("*").alias("weight"),
+        )
+        .select(F.col("k1").alias("node"), F.col("k2").alias("second"), "n", "first", "weight"),
         "classes",
     )
-    same = (
-        F.col("doc_id").eqNullSafe(F.col("first_id"))
-        & (F.col("k1") == F.col("node"))
-        & (F.col("k2") == F.col("second"))
+    own = (
+        F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+        & (F.col("h1") == F.col("first.h1"))
+        & (F.col("h2") == F.col("first.h2"))
     )
+    same = own & (F.col("k1") == F.col("node")) & (F.col("k2") == F.col("second"))
     met = (
         signed.join(classes, same, "left_semi")
         .select(F.col("k1").alias("node"), F.explode("prefixes").alias("prefix"))
@@ -348,9 +367,10 @@ def similarity_classes(
     placed = stored(placed.join(sizes, F.col("block") == F.col("sized")).drop("sized"), "parts")
     total = placed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     together = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // TILE_SHINGLES))
-    once = placed.select("first_id", "node", "second", "weight", "block", "parts")
-    # Texts of candidates are moved by id at every size, so that costs grow in proportion.
-    chosen = texts.join(once.hint("merge"), F.col("doc_id").eqNullSafe(F.col("first_id")))
+    once = placed.select("first", "node", "second", "weight", "block", "parts")
+    # Texts of candidates are moved by id and digest at every size, so that costs grow in
+    # proportion, and a text without an id of its own meets its own class only.
+    chosen = texts.join(once.hint("merge"), own)
     sets = _shingled(chosen.select("node", "second", "weight", "block", "parts", "text"), words)
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     partner = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
@@ -374,23 +394,48 @@ def similarity_classes(
     )
     counts = found.where("n > 0").groupBy("a").agg(F.sum("n").alias("others"))
     joined = components(found.where("n = 0").select("a", "b"))
-    named = classes.select("node", "second", "first_id", "weight").join(
+    named = classes.join(
         joined.select(F.col("node").alias("joined_node"), "root"),
         F.col("node") == F.col("joined_node"),
         "left",
     ).withColumn("root", F.coalesce("root", "node"))
-    names = named.groupBy(F.col("root").alias("named_root")).agg(
-        F.min("first_id").alias("class_id")
+    links = named.join(counts, F.col("node") == F.col("a"), "left").select(
+        "node", "second", "first", "root", "weight", "others"
     )
-    result = (
-        named.join(counts, F.col("node") == F.col("a"), "left")
-        .join(names, F.col("root") == F.col("named_root"))
-        .select(
-            "node",
-            "second",
-            "class_id",
-            (F.coalesce("others", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
-        )
+    return signed, links
+
+
+def similarity_classes(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words: int = WORDS,
+    threshold: float = THRESHOLD,
+    recall: float = RECALL,
+    trees: int = TREES,
+) -> DataFrame:
+    """The links of every row: doc_id, n_links, class_id, kept.
+
+    Rows link if the Jaccard similarity of their sets of shingles is `threshold` or
+    more. n_links is how many other rows a row links with, copies included; class_id
+    is the smallest doc_id that links reach, itself included; kept is true for the row
+    that has this id. Every pair that is reported is verified on the whole sets. Pairs
+    at the threshold are found with probability `recall`, more similar ones with more.
+
+    Null texts and texts without words link with nothing and are kept. A text shorter
+    than a shingle is one shingle. Repeated rows are copies, each of which is returned;
+    rows without an id take part, but name a class only if it has no other row. Other
+    columns are not read; an empty table gives an empty result.
+    """
+    signed, links = _classes(docs, id_col, text_col, words, threshold, recall, trees)
+    names = links.groupBy(F.col("root").alias("named_root")).agg(
+        F.min("first.doc_id").alias("class_id")
+    )
+    result = links.join(names, F.col("root") == F.col("named_root")).select(
+        "node",
+        "second",
+        "class_id",
+        (F.coalesce("others", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
     )
     return signed.join(
         result, (F.col("k1") == F.col("node")) & (F.col("k2") == F.col("second")) & (F.col("n") > 0), "left"
@@ -403,9 +448,22 @@ def similarity_classes(
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` that similarity_classes keeps, all columns, a repeated row once."""
-    kept = similarity_classes(docs, id_col, text_col).where("kept")
-    kept = kept.select(F.col("doc_id").alias("_kept_id")).distinct()
+    """One row of `docs` for each class of similarity_classes, all columns.
+
+    It is the row with the smallest id; a class without ids keeps one of its rows, and
+    of rows that share the smallest id one stays. Rows whose text is null or has no
+    words are classes of their own. A repeated row comes once.
+    """
+    signed, links = _classes(docs, id_col, text_col, WORDS, THRESHOLD, RECALL, TREES)
+    firsts = links.groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    names = ["doc_id", "h1", "h2"]
+    kept = firsts.select(names).union(signed.where("n = 0").select(names).distinct())
+    kept = kept.select(*(F.col(c).alias(f"_kept_{c}") for c in names))
+    h1, h2 = _digests(F.col(text_col))
     return docs.join(
-        kept, F.col(id_col).eqNullSafe(F.col("_kept_id")), "left_semi"
+        kept,
+        F.col(id_col).eqNullSafe(F.col("_kept_doc_id"))
+        & (h1 == F.col("_kept_h1"))
+        & (h2 == F.col("_kept_h2")),
+        "left_semi",
     ).dropDuplicates([id_col, text_col])

@@ -116,3 +116,32 @@ def test_forest_connects_what_the_matrix_connects():
         links[i, j] = links[j, i] = True
     i, j = components.forest(links)
     assert sorted(zip(i.tolist(), j.tolist())) == [(2, 1), (3, 0), (5, 0)]
+
+
+def test_one_row_of_each_class_stays_with_ids_missing_or_repeated(documents, rows):
+    base = sentence(40, 200)
+    more = [(None, edited(sentence(9, 60), 3, 200), "s"), (None, None, "s"), (None, "", "s"), (None, "", "s")]
+    more += [(None, edited(base, i, 200), "s") for i in range(6)]  # a class without ids
+    more += [(100, edited(sentence(2, 200), 1, 200), "s"), (99, edited(sentence(2, 200), 2, 200), "s")]
+    more += [(98, edited(sentence(3, 200), i, 200), "s") for i in range(3)]  # one id, one class
+    made = rows + more
+    out = [(r.doc_id, r.text) for r in ngrams.one_of_each(documents(made)).collect()]
+    sets = [shingles(t) for _, t, _ in made]
+    classes = []
+    for i, own in enumerate(sets):
+        met = [c for c in classes if any(own and len(own & sets[j]) >= 0.8 * len(own | sets[j]) for j in c)]
+        classes = [c for c in classes if c not in met] + [[i, *(j for c in met for j in c)]]
+    empty = {made[i][:2] for i, own in enumerate(sets) if not own}
+    assert Counter(x for x in out if not shingles(x[1])) == Counter(empty)
+    for members in (c for c in classes if sets[c[0]]):
+        found = [x for x in out if x in {made[i][:2] for i in members}]
+        least = min((made[i][0] for i in members if made[i][0] is not None), default=None)
+        assert [x[0] for x in found] == [least]
+
+
+def test_texts_of_rows_without_an_id_meet_their_own_class_only(documents, monkeypatch):
+    rows = [(None, edited(sentence(i % 10, 200), i, 200), "s") for i in range(60)]
+    met, shingled = [], ngrams._shingled
+    monkeypatch.setattr(ngrams, "_shingled", lambda df, n: met.append(df.count()) or shingled(df, n))
+    ngrams.similarity_classes(documents(rows)).collect()
+    assert met == [60]
