@@ -77,12 +77,16 @@ def targets(
     )
 
 
-def _placed(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+def _placed(
+    docs: DataFrame, id_col: str, text_col: str, source_col: str, *more: Column
+) -> DataFrame:
     """doc_id, source, size and place: the hash of the id, then the row's own number.
 
-    The number tells repeated ids apart. It is fixed by the write that follows.
+    The number tells repeated ids apart. It is fixed by the write that follows. `more`
+    columns are written beside them.
     """
     return docs.select(
+        *more,
         F.col(id_col).alias("doc_id"),
         F.col(source_col).alias("source"),
         words(F.col(text_col)).alias("size"),
@@ -145,6 +149,19 @@ def mix(
     are told apart by their place in the table. Other columns are not read.
     """
     rows = stored(_placed(docs, id_col, text_col, source_col), "sizes")
+    return _decided(rows, weights, share, most).select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        (F.col("size") * F.col("times")).cast("long").alias("taken"),
+    )
+
+
+def _decided(
+    rows: DataFrame, weights: Sequence[float], share: float, most: int
+) -> DataFrame:
+    """The stored rows of _placed() with source_size, target and how many times each is taken."""
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     goals = stored(targets(sources, weights, share, most), "targets")
     rounds = F.when(
@@ -167,7 +184,8 @@ def mix(
     ends = ends.select(F.col("source").alias("end_source"), "prefix", "left")
     goals = goals.select(F.col("source").alias("goal_source"), "source_size", "target", "rounds")
     limits = goals.join(ends, F.col("goal_source").eqNullSafe(F.col("end_source")), "left")
-    limits = limits.drop("end_source")
+    # Stored, so that Spark knows that it is small and leaves the rows where they are.
+    limits = stored(limits.drop("end_source"), "limits")
     here = F.expr("substring(place, 1, length(prefix))")
     more = F.when(
         (here < F.col("prefix"))
@@ -176,29 +194,28 @@ def mix(
     ).otherwise(0)
     return rows.join(
         limits, F.col("source").eqNullSafe(F.col("goal_source")), "left"
-    ).select(
-        "doc_id",
-        "size",
-        "source_size",
-        "target",
-        (F.col("size") * (F.col("rounds") + more)).cast("long").alias("taken"),
-    )
+    ).withColumn("times", (F.col("rounds") + more).cast("int"))
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def mixed(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: Sequence[float] = WEIGHTS,
+    share: float = SHARE,
+    most: int = MOST,
+) -> DataFrame:
     """The rows of `docs` as often as the mix takes them, all columns.
 
-    Empty documents are taken by no budget; they stay out. Rows that repeat an id come
-    as often as all of them together are taken.
+    Each row comes as often as mix() takes it, also one that repeats an id or has none.
+    Empty documents are taken by no budget; they stay out.
     """
-    taken = mix(docs, id_col).where("taken > 0")
-    times = taken.groupBy(F.col("doc_id").alias("_taken_id")).agg(
-        (F.sum(F.col("taken") / F.col("size")) / F.count("*")).cast("int").alias("_taken_times")
-    )
+    whole = F.struct(*docs.columns).alias("whole")
+    rows = stored(_placed(docs, id_col, text_col, source_col, whole), "documents")
     return (
-        docs.join(
-            times.where("_taken_times > 0"), F.col(id_col).eqNullSafe(F.col("_taken_id"))
-        )
-        .withColumn("_taken_times", F.explode(F.sequence(F.lit(1), F.col("_taken_times"))))
-        .select(*docs.columns)
+        _decided(rows, weights, share, most)
+        .where("size > 0 AND times > 0")
+        .select("whole", F.explode(F.sequence(F.lit(1), F.col("times"))))
+        .select("whole.*")
     )

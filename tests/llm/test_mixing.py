@@ -86,3 +86,23 @@ def test_nothing_to_mix(documents):
     assert mixing.mix(documents([])).count() == 0
     got = mixing.mix(documents([(1, "", "a"), (2, None, None)])).collect()
     assert [(r.size, r.target, r.taken) for r in got] == [(0, 0.0, 0)] * 2
+
+
+def test_mixed_meets_targets_with_ids_missing_or_repeated(documents, rows):
+    made = rows + [(None, "n " * (i % 9), f"s{i % 7}") for i in range(80)]
+    made += [(5, "five " * (1 + i % 3), "s2") for i in range(90)]
+    docs = documents(made)
+    out = mixing.mixed(docs)
+    assert out.columns == docs.columns
+    got = [(r.doc_id, r.text, r.source) for r in out.collect()]
+    assert set(got) <= set(made) and {None, 5} <= {r[0] for r in got}
+    sizes, taken, biggest = defaultdict(int), defaultdict(int), defaultdict(int)
+    for _, text, source in made:
+        sizes[source] += len(WORD.findall(text or ""))
+        biggest[source] = max(biggest[source], len(WORD.findall(text or "")))
+    for _, text, source in got:
+        taken[source] += len(WORD.findall(text))
+    for source, target in fill(sizes).items():
+        assert abs(taken[source] - target) <= biggest[source] / 2 + 1e-6
+    most = Counter(made)
+    assert all(n <= 2 * most[r] for r, n in Counter(got).items())
