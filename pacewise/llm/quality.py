@@ -7,6 +7,7 @@ trees, a few arrays, then score every document where it lies.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from itertools import islice
 from operator import eq
@@ -71,12 +72,10 @@ def statistics(text: str) -> list[float]:
     kinds[_LETTER] += 1 - np.count_nonzero(known) / len(text)
     words = text.split()
     lines = [line for line in text.split("\n") if line]
-    n, different = len(words), set(words)
+    n, different = len(words), Counter(words)
     some = max(n, 1)
     repeats = sum(map(eq, words, islice(words, 1, None)))
-    # The commonest word of a text is short, so the shortest ones are counted.
-    shortest = sorted(different, key=lambda w: (len(w), w))[:8]
-    commonest = max(map(words.count, shortest), default=0)
+    commonest = max(different.values(), default=0)
     lengths = np.fromiter(map(len, words), np.int64, n)
     return [
         np.log1p(len(text)),

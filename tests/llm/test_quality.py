@@ -89,3 +89,8 @@ def test_nothing_to_learn_or_score(spark, documents):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert quality.scored(documents([]), none).count() == 0
     assert quality.scored(documents([(1, "a", "s")]), none).first().score == 0.5
+
+
+def test_the_commonest_word_may_be_long():
+    text = " ".join(f"repeatedword {c}" for c in "abcdefghij")
+    assert quality.statistics(text)[quality.NAMES.index("commonest")] == 0.5
