@@ -41,7 +41,7 @@ ENDS = {
 }
 BOUNDS = frozenset("article aside blockquote body div dl main nav ol section table td ul".split())
 
-#: Words of a class or id that mark page furniture, whole or as a word's begin.
+#: Words of a container's class or id that mark page furniture, whole or as a word's begin.
 WORDS = frozenset(
     "ad ads adv nav menu side footer header masthead banner notice notices alert social share "
     "sharing related reply replies respond popup modal overlay widget toolbar topbar login signup "
@@ -51,6 +51,19 @@ WORDS = frozenset(
 BEGINS = ("advert", "cookie", "comment", "sidebar", "breadcrumb", "navbar", "navig", "newsletter",
           "sponsor", "promo", "subscri", "recommend")
 ENDINGS = ("nav", "menu", "menubar")
+#: With these a class name of more words still says no more than furniture.
+PARTS = frozenset(
+    "slot box container wrapper wrap block list bar button buttons link links posts icons unit "
+    "area form".split()
+)
+#: Words that begin like BEGINS and are furniture by themselves.
+NAMED = frozenset(
+    "advert adverts advertisement advertisements advertising cookie cookies comment comments "
+    "sidebar sidebars breadcrumb breadcrumbs navbar navigation newsletter newsletters sponsor "
+    "sponsors sponsored promo promos subscribe subscription recommended recommendations".split()
+)
+#: What holds text of its own, whatever its class or id: these carry topics and slugs.
+CONTENT = frozenset("html body main article h1 h2 h3 h4 h5 h6 p".split())
 #: In an article these words mark its own parts.
 OWN_WORDS = frozenset(("header", "meta", "byline", "tags", "banner", "hidden"))
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog".split())
@@ -62,6 +75,8 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+#: Classes by which a site states a text's topic or state.
+_STATE = re.compile(r"(?:category|tag)-.*|.*-(?:open|closed)", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _CLOSE = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
 
@@ -73,23 +88,40 @@ class Block(NamedTuple):
     clean: bool
 
 
-def _is_furniture(tag: str, attributes: dict[str, str], inside: bool, by_class: bool) -> bool:
+def _is_furniture(
+    tag: str, attributes: dict[str, str], inside: bool, article: bool, by_class: bool
+) -> bool:
+    """`inside` an article or main; `article` is whether it is an article."""
     if tag in FURNITURE or "hidden" in attributes or attributes.get("role", "").lower() in ROLES:
         return True
     if tag == "header" and not inside:
         return True
-    if not by_class or tag in ("html", "body", "main"):
+    if not by_class or tag in CONTENT:
         return False
-    for name in (attributes.get("class", ""), attributes.get("id", "")):
-        for word in _WORD.findall(name):
-            word = word.lower()
-            if word.startswith(BEGINS) or word.endswith(ENDINGS):
-                return True
-            if word in WORDS and not (inside and word in OWN_WORDS):
-                return True
+    classes, name = attributes.get("class", "").split(), attributes.get("id", "")
+    if article:
+        # Ids in an article are slugs of its headings.
+        return any(_says_furniture(c, OWN_WORDS) for c in classes)
+    if tag == "section" and _says_furniture(name):
+        return True
+    names = [c for c in classes if not _STATE.fullmatch(c)]
+    if tag != "section":
+        names.append(name)
+    for word in (w.lower() for n in names for w in _WORD.findall(n)):
+        if word.startswith(BEGINS) or word.endswith(ENDINGS):
+            return True
+        if word in WORDS and not (inside and word in OWN_WORDS):
+            return True
     return False
 
 
+def _says_furniture(name: str, but: frozenset[str] = frozenset()) -> bool:
+    """Whether all words of a class name or id are furniture or its parts."""
+    words = [w.lower() for w in _WORD.findall(name)]
+    marks = [w in NAMED or w.endswith(ENDINGS) or w in WORDS and w not in but for w in words]
+    return any(marks) and all(m or w in PARTS for m, w in zip(marks, words))
+
+
 def _label(tag: str, attributes: dict[str, str]) -> str:
     """Tag and classes, or else the id; digits go, so that numbered ones are one."""
     classes = sorted(set(re.sub(r"[\d/]+", "", attributes.get("class", "")).split()))
@@ -184,7 +216,7 @@ def blocks(page: str, by_class: bool = True) -> list[Block]:
             for m in _ATTRIBUTE.finditer(rest)
         }
         clean = (not stack or stack[-1][2]) and not _is_furniture(
-            tag, attributes, articles > 0, by_class
+            tag, attributes, articles > 0, any(t == "article" for t, _, _ in stack), by_class
         )
         stack.append((tag, _label(tag, attributes), clean))
         links += tag == "a"

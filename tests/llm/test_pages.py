@@ -125,3 +125,33 @@ def test_paths_survive_odd_names(spark):
     found, _ = articles.best_path(articles.page_blocks(page))
     assert found == ("html", "body", "article#post-a") or found == ("body", "article#post-a")
     assert articles.main_text(page, "/".join(found)) == "H\ntext"
+
+
+@pytest.mark.parametrize("name", ["category-legal", "tag-social", "category-trending", "comments-open"])
+def test_topics_and_states_are_no_furniture(name):
+    page = f"<body><{{0}} class='post-7 post {name}'><h1>T</h1><p>the text</p></{{0}}><div>stray</div></body>"
+    assert articles.main_text(page.format("article")) == "T\nthe text"
+    assert "the text" in articles.main_text(page.format("div"))
+
+
+@pytest.mark.parametrize("name", ["related-work", "search-algorithms", "recommendations", "navigating-menus", "legal"])
+def test_slugs_are_no_furniture(name):
+    page = f"<body><article><h1>T</h1><section id='{name}'><h2 id='{name}'>H</h2><p id='{name}'>text</p></section></article></body>"
+    assert articles.main_text(page) == "T\nH\ntext"
+    bare = f"<body><h2 id='{name}' class='{name}'>H</h2><p>text</p><p class='{name}'>more</p></body>"
+    assert articles.main_text(bare) == "H\ntext\nmore"
+
+
+@pytest.mark.parametrize("name, kept", [
+    ("ad", False), ("ad-slot", False), ("social-share", False), ("commentList", False), ("topnav", False),
+    ("related-posts", False), ("category-legal", True), ("commentary", True), ("search-algorithms", True),
+    ("header", True),
+])
+def test_in_an_article_the_whole_class_says_it(name, kept):
+    page = f"<article><h1>T</h1><div class='x {name}'><p>part</p></div><p>text</p></article>"
+    assert ("part" in articles.main_text(page)) is kept
+
+
+def test_main_holds_furniture_by_any_word():
+    page = "<body><main><div class='header'>H</div><p>text</p><div class='sidebar-left'><p>bad</p></div></main></body>"
+    assert articles.main_text(page) == "H\ntext"
