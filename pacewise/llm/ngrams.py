@@ -1,12 +1,13 @@
-"""Similarity join of documents by their five-word shingles, with an LSH forest.
-
-Each document gets a MinHash signature that is read as TREES words of up to MAX_DEPTH
-letters. A tree is the trie of one of these words: documents under the same node share
-a prefix. Prefixes are shortened, from MAX_DEPTH on, until a pair at the threshold
-shares one with the wanted probability. Documents with equal sets of shingles are one
-class and enter once. Classes that prefixes connect form a block; a class's shingles
-are moved once to its block, or where the block is large to one tile row of it, and
-all candidates in it are verified exactly. No list of pairs is ever written.
+"""Similarity join of documents by their five-word shingles, by MinHash banding.
+
+Each document gets TREES hashes of `depth` minima each; documents with an equal hash
+are candidates. The depth is the largest, up to MAX_DEPTH, at which a pair at the
+threshold has an equal hash with the wanted probability: a formula of the settings, not
+of the data. This fixed depth stands in place of an LSH forest, whose sorted tries
+would be shortened on the data. Documents with equal sets of shingles are one class and
+enter once. Classes that hashes connect form a block; a class's shingles are moved once
+to its block, or where the block is large to one tile row of it, and all candidates in
+it are verified exactly. No list of pairs is ever written.
 """
 
 from __future__ import annotations
