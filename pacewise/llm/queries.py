@@ -10,10 +10,13 @@ from pacewise.llm import (
     articles,
     bpe,
     chunks,
+    codes,
     embeddings,
+    leaks,
     mixing,
     ngrams,
     quality,
+    ranked,
     shards,
     urls,
     warc,
@@ -171,6 +174,131 @@ FROM copies
 """
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compressed(spark, table(spark, sf_dir, "embeddings"))
+
+
+def _op11() -> str:
+    """Rounds of assignment and replacement over components, one row each."""
+    rounds = []
+    for r in range(3):
+        rounds.append(f"""
+a{r} AS MATERIALIZED (
+    SELECT row_no, p, min(d * 64 + e) % 64 AS e, min(d * 64 + e) // 64 AS d
+    FROM (SELECT row_no, p, e, coalesce(sum((x - c) * (x - c)), 0)::BIGINT AS d
+          FROM component JOIN b{r} USING (p, k) GROUP BY ALL)
+    GROUP BY row_no, p)""")
+        if r < 2:
+            rounds.append(f"""
+s{r} AS (
+    SELECT p, e, k, sum(x)::BIGINT AS s, count(*) AS n
+    FROM component JOIN a{r} USING (row_no, p) GROUP BY ALL),
+b{r + 1} AS MATERIALIZED (
+    SELECT p, e, k, coalesce((s - ((s % n) + n) % n) // n, c) AS c
+    FROM b{r} LEFT JOIN s{r} USING (p, e, k))""")
+    return f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY vec_id, embedding) AS row_no, vec_id, label, embedding,
+           len(embedding) // 16 AS wide
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND (SELECT count(*) FROM unnest(embedding) AS u(x) WHERE x IS NULL OR NOT isfinite(x)) = 0),
+component AS MATERIALIZED (
+    SELECT row_no, (i - 1) // wide AS p, (i - 1) % wide AS k,
+           floor(256 * embedding[i]::DOUBLE)::BIGINT AS x
+    FROM (SELECT *, unnest(range(1, len(embedding) + 1)) AS i FROM kept)),
+b0 AS MATERIALIZED (SELECT p, row_no - 1 AS e, k, x AS c FROM component WHERE row_no <= 64),
+{",".join(rounds)},
+coded AS (
+    SELECT row_no, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error
+    FROM a2 GROUP BY row_no),
+books AS (
+    SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY p, e, k)) AS codebooks_sha256 FROM b2)
+SELECT vec_id, code, error,
+       (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (row_no), books
+"""
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.best_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP12 = rf"""
+WITH cut AS (
+    SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all({LOWERED},
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents),
+long AS (SELECT row_no, doc_id, len(terms) AS size FROM cut WHERE len(terms) > 0),
+total AS (SELECT count(*) AS n_docs, sum(size)::BIGINT AS n_terms FROM long),
+frequency AS (
+    SELECT row_no, term, count(*) AS tf FROM (SELECT row_no, unnest(terms) AS term FROM cut)
+    GROUP BY ALL),
+held AS (SELECT term, count(*) AS df FROM frequency GROUP BY term),
+asked AS (
+    SELECT item_id, unnest(list_distinct(regexp_extract_all({LOWERED},
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term
+    FROM benchmark),
+points AS (
+    SELECT item_id, row_no, doc_id,
+           sum(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT
+               * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * size * n_docs) // n_terms)))
+              )::BIGINT AS score
+    FROM asked JOIN frequency USING (term) JOIN held USING (term) JOIN long USING (row_no), total
+    GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER
+           AS "rank", doc_id, score
+FROM points WHERE score > 0 QUALIFY "rank" <= 10
+"""
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leaks.scanned(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+#: Windows of each size that items have, against all places of documents.
+OP13 = rf"""
+WITH cut AS (
+    SELECT row_number() OVER () AS row_no, doc_id, coalesce(regexp_extract_all({LOWERED},
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS words
+    FROM documents),
+items AS (
+    SELECT item_id, words, least(len(words), 10) AS size
+    FROM (SELECT item_id, regexp_extract_all({LOWERED},
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark)
+    WHERE len(words) > 0),
+windows AS (
+    SELECT DISTINCT item_id, size, array_to_string(words[i:i + size - 1], ' ') AS part
+    FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS i FROM items)),
+places AS (
+    SELECT row_no, size, i, array_to_string(words[i:i + size - 1], ' ') AS part
+    FROM (SELECT row_no, words, size, unnest(range(1, len(words) - size + 2)) AS i
+          FROM cut, (SELECT DISTINCT size FROM windows) WHERE len(words) >= size)),
+met AS (SELECT DISTINCT row_no, i, size, item_id FROM places JOIN windows USING (size, part)),
+hit AS (
+    SELECT row_no, count(DISTINCT place) AS n_hit
+    FROM (SELECT row_no, unnest(range(i, i + size)) AS place FROM met) GROUP BY row_no),
+named AS (
+    SELECT row_no, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+    FROM (SELECT DISTINCT row_no, item_id::VARCHAR AS name FROM met) GROUP BY row_no)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM cut LEFT JOIN hit USING (row_no) LEFT JOIN named USING (row_no)
+"""
+
+
 def add_to(registry: Registry) -> None:
     registry.add("op1_html_extraction", op1_html_extraction)
     registry.add("op2_bpe", op2_bpe)
@@ -182,3 +310,6 @@ def add_to(registry: Registry) -> None:
     registry.add("op8_quality", op8_quality)
     registry.add("op9_mixing", op9_mixing, OP9)
     registry.add("op10_warc", op10_warc, OP10)
+    registry.add("op11_vector_codes", op11_vector_codes, _op11())
+    registry.add("op12_ranked_search", op12_ranked_search, OP12)
+    registry.add("op13_decontamination", op13_decontamination, OP13)

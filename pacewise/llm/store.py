@@ -24,14 +24,14 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` as Parquet to the shared folder and read on from there.
+def stored(df: DataFrame, name: str, **options) -> DataFrame:
+    """Write `df` as Parquet, with the writer's `options`, to the shared folder and read it.
 
     Like checkpoint(), but columnar and compressed, and Spark knows the size of
     what it reads, so that it can tell whether a side fits a broadcast.
     """
     path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
