@@ -51,22 +51,35 @@ WORDS = frozenset(
 BEGINS = ("advert", "cookie", "comment", "sidebar", "breadcrumb", "navbar", "navig", "newsletter",
           "sponsor", "promo", "subscri", "recommend")
 ENDINGS = ("nav", "menu", "menubar")
-#: With these a class name of more words still says no more than furniture.
+#: With these, and words of place, a name of more words still says no more than furniture.
 PARTS = frozenset(
     "slot box container wrapper wrap block list bar button buttons link links posts icons unit "
-    "area form".split()
+    "area form thread section".split()
+)
+PLACES = frozenset(
+    "post entry article inline top bottom left right page site user google reader readers".split()
 )
 #: Words that begin like BEGINS and are furniture by themselves.
 NAMED = frozenset(
     "advert adverts advertisement advertisements advertising cookie cookies comment comments "
-    "sidebar sidebars breadcrumb breadcrumbs navbar navigation newsletter newsletters sponsor "
-    "sponsors sponsored promo promos subscribe subscription recommended recommendations".split()
+    "commentlist sidebar sidebars breadcrumb breadcrumbs navbar navigation newsletter newsletters "
+    "sponsor sponsors sponsored promo promos subscribe subscription recommended "
+    "recommendations".split()
 )
 #: What holds text of its own, whatever its class or id: these carry topics and slugs.
 CONTENT = frozenset("html body main article h1 h2 h3 h4 h5 h6 p".split())
 #: In an article these words mark its own parts.
 OWN_WORDS = frozenset(("header", "meta", "byline", "tags", "banner", "hidden"))
+#: Ids in an article are slugs of its headings, unless they name these.
+OTHERS = frozenset(
+    "ad ads advert adverts advertisement advertisements comment comments commentlist respond reply "
+    "replies disqus sidebar sidebars sponsor sponsors sponsored".split()
+)
+#: Elements of an article whose ids are looked at, and all whose class may name several words.
+HOLDERS = frozenset("div section aside ol ul".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog".split())
+#: A sibling counts from this share of the best container's text on.
+SIBLING = 0.2
 
 #: Quotes count only behind an equals sign; a tag may end with the page.
 _TOKEN = re.compile(
@@ -77,49 +90,64 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 #: Classes by which a site states a text's topic or state.
 _STATE = re.compile(r"(?:category|tag)-.*|.*-(?:open|closed)", re.I)
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-_CLOSE = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
+_CLOSE = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 
+#: How sure it is that an element is furniture: by its whole name or tag, or by one word.
+SURE, WEAK, NOT = 2, 1, 0
 
-class Block(NamedTuple):
-    path: tuple[str, ...]
-    text: str
-    linked: int
-    clean: bool
 
+def _words(name: str) -> list[str]:
+    return [w.lower() for w in _WORD.findall(name)]
 
-def _is_furniture(
-    tag: str, attributes: dict[str, str], inside: bool, article: bool, by_class: bool
+
+def _says_furniture(
+    name: str, but: frozenset[str] = frozenset(), only: frozenset[str] | None = None
 ) -> bool:
-    """`inside` an article or main; `article` is whether it is an article."""
-    if tag in FURNITURE or "hidden" in attributes or attributes.get("role", "").lower() in ROLES:
-        return True
-    if tag == "header" and not inside:
-        return True
-    if not by_class or tag in CONTENT:
-        return False
-    classes, name = attributes.get("class", "").split(), attributes.get("id", "")
-    if article:
-        # Ids in an article are slugs of its headings.
-        return any(_says_furniture(c, OWN_WORDS) for c in classes)
-    if tag == "section" and _says_furniture(name):
-        return True
-    names = [c for c in classes if not _STATE.fullmatch(c)]
-    if tag != "section":
-        names.append(name)
-    for word in (w.lower() for n in names for w in _WORD.findall(n)):
-        if word.startswith(BEGINS) or word.endswith(ENDINGS):
-            return True
-        if word in WORDS and not (inside and word in OWN_WORDS):
-            return True
-    return False
+    """Whether all words of a class name or id are furniture, its parts or its place."""
+    words = _words(name)
+    if only is None:
+        marks = [w in NAMED or w.endswith(ENDINGS) or w in WORDS and w not in but for w in words]
+    else:
+        marks = [w in only for w in words]
+    return any(marks) and all(m or w in PARTS or w in PLACES for m, w in zip(marks, words))
 
 
-def _says_furniture(name: str, but: frozenset[str] = frozenset()) -> bool:
-    """Whether all words of a class name or id are furniture or its parts."""
-    words = [w.lower() for w in _WORD.findall(name)]
-    marks = [w in NAMED or w.endswith(ENDINGS) or w in WORDS and w not in but for w in words]
-    return any(marks) and all(m or w in PARTS for m, w in zip(marks, words))
+def _furniture(
+    tag: str, attributes: dict[str, str], inside: bool, article: bool, by_class: bool
+) -> int:
+    """SURE, WEAK or NOT; `inside` an article or main, `article` is whether it is an article."""
+    if tag in FURNITURE or attributes.get("role", "").lower() in ROLES:
+        return SURE
+    if "hidden" in attributes or _UNSEEN.search(attributes.get("style", "")):
+        return SURE
+    if tag == "header" and not inside:
+        return SURE
+    if not by_class:
+        return NOT
+    classes = [c for c in attributes.get("class", "").split() if not _STATE.fullmatch(c)]
+    name = attributes.get("id", "")
+    if tag == "article":
+        return SURE if any(_says_furniture(c, only=OTHERS) for c in classes) else NOT
+    if tag in CONTENT:
+        return NOT
+    but = OWN_WORDS if inside else frozenset()
+    if any(_says_furniture(c, but) for c in classes):
+        return SURE
+    if tag in HOLDERS and _says_furniture(name, only=OTHERS):
+        return SURE
+    if article or tag not in BLOCK:
+        return NOT
+    # Outside of an article ids name containers, too, and one word makes a container suspect.
+    if _says_furniture(name, but):
+        return SURE
+    for word in (w for n in (classes if tag == "section" else [*classes, name]) for w in _words(n)):
+        if word.startswith(BEGINS) or word.endswith(ENDINGS):
+            return WEAK
+        if word in WORDS and word not in but:
+            return WEAK
+    return NOT
 
 
 def _label(tag: str, attributes: dict[str, str]) -> str:
@@ -133,154 +161,258 @@ def _tag(label: str) -> str:
     return re.split(r"[.#]", label, maxsplit=1)[0]
 
 
-def blocks(page: str, by_class: bool = True) -> list[Block]:
-    """The text blocks of a page in order; `clean` ones are not in page furniture.
+class Block(NamedTuple):
+    """A block's path and suspect container, by number, its text, and how much is linked."""
 
-    Reads broken pages as browsers do: unclosed elements end with what holds them, an
-    unfinished tag at the end is no text.
-    """
-    found: list[Block] = []
-    stack: list[tuple[str, str, bool]] = []  # tag, label, clean
-    held: list[str] = []
-    linked = at = links = articles = 0
-
-    def finish() -> None:
-        nonlocal linked
-        text = " ".join(html.unescape("".join(held)).split())
-        if text:
-            path = tuple(label for tag, label, _ in stack if tag in BLOCK)
-            found.append(Block(path, text, linked, not stack or stack[-1][2]))
-        held.clear()
-        linked = 0
-
-    def pop() -> None:
-        nonlocal links, articles
-        tag = stack[-1][0]
-        if tag in BLOCK:
-            finish()
-        stack.pop()
-        links -= tag == "a"
-        articles -= tag in ("article", "main")
-
-    def close(tags: set[str]) -> None:
-        """End the innermost open element of `tags`, unless a container lies between."""
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in tags:
-                while len(stack) > i:
-                    pop()
-                return
-            if stack[i][0] in BOUNDS:
-                return
-
-    while True:
-        token = _TOKEN.search(page, at)
-        piece = page[at : token.start() if token else len(page)]
-        if piece:
-            held.append(piece)
-            linked += len(piece) if links else 0
-        if token is None:
-            break
-        at = token.end()
-        ending, name, rest = token[1], token[2], token[3]
-        if name is None or not token[4]:
-            continue
-        tag = name.lower()
-        if ending:
-            if tag == "p" and not any(t == "p" for t, _, _ in stack):
-                finish()
-            inline = tag not in BLOCK
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    while len(stack) > i:
-                        pop()
-                    break
-                if inline and stack[i][0] in BLOCK:
-                    break
-            continue
-        if tag == "br":
-            held.append(" ")
-            continue
-        if tag in BLOCK:
-            finish()
-            close({"p"})
-        if tag in ENDS:
-            close(ENDS[tag])
-        if tag in VOID:
-            continue
-        if tag in RAW:
-            end = _CLOSE[tag].search(page, at)
-            at = end.end() if end else len(page)
-            continue
-        attributes = {
-            m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "")
-            for m in _ATTRIBUTE.finditer(rest)
-        }
-        clean = (not stack or stack[-1][2]) and not _is_furniture(
-            tag, attributes, articles > 0, any(t == "article" for t, _, _ in stack), by_class
-        )
-        stack.append((tag, _label(tag, attributes), clean))
-        links += tag == "a"
-        articles += tag in ("article", "main")
-    while stack:
-        pop()
-    finish()
-    return found
+    path: int
+    suspect: int
+    text: str
+    linked: int
 
 
-def _container(path: tuple[str, ...]) -> tuple[str, ...]:
-    """The outermost article, else main, else what holds the block itself."""
-    for wanted in ("article", "main"):
-        for i, label in enumerate(path):
-            if _tag(label) == wanted:
-                return path[: i + 1]
-    return path[:-1] if len(path) > 1 else path
+class Page:
+    """A page's text blocks, and its containers' paths as a tree in which siblings are one.
 
+    Path 0 is the page. Broken pages are read as browsers do: unclosed elements end with
+    what holds them, an unfinished tag at the end is no text. Each element is pushed and
+    popped once, and open elements are found by their tag, so time grows with the page.
+    """
 
-def best_path(found: list[Block]) -> tuple[tuple[str, ...], float] | None:
+    def __init__(self, page: str, by_class: bool = True) -> None:
+        self.labels, self.parents, self.depths = [""], [-1], [0]
+        self.articles, self.mains = [-1], [-1]
+        self.children: dict[tuple[int, str], int] = {}
+        self.blocks: list[Block] = []
+        #: Containers that one word makes suspect: the suspect that holds them.
+        self.suspects = [-1]
+        #: Whether any text was left out as furniture.
+        self.dropped = False
+        self._read(page, by_class)
+        self._judge()
+
+    def _path(self, parent: int, label: str) -> int:
+        known = self.children.get((parent, label))
+        if known is not None:
+            return known
+        number = len(self.labels)
+        self.children[parent, label] = number
+        self.labels.append(label)
+        self.parents.append(parent)
+        self.depths.append(self.depths[parent] + 1)
+        tag = _tag(label)
+        for outermost, name in ((self.articles, "article"), (self.mains, "main")):
+            held = outermost[parent]
+            outermost.append(held if held >= 0 else number if tag == name else -1)
+        return number
+
+    def _read(self, page: str, by_class: bool) -> None:
+        # Of each open element: tag, path, whether it is furniture, and its suspect.
+        stack: list[tuple[str, int, bool, int]] = []
+        places: dict[str, list[int]] = defaultdict(list)
+        bounds: list[int] = []
+        in_block: list[int] = []
+        held: list[str] = []
+        linked = at = 0
+
+        def finish() -> None:
+            nonlocal linked
+            text = " ".join(html.unescape("".join(held)).split())
+            if text:
+                _, path, _, suspect = stack[-1] if stack else ("", 0, False, 0)
+                self.blocks.append(Block(path, suspect, text, linked))
+            held.clear()
+            linked = 0
+
+        def pop(down_to: int) -> None:
+            while len(stack) > down_to:
+                tag = stack[-1][0]
+                if tag in BLOCK:
+                    finish()
+                    in_block.pop()
+                stack.pop()
+                places[tag].pop()
+                if tag in BOUNDS:
+                    bounds.pop()
+
+        def close(tags: set[str]) -> None:
+            """End the innermost open element of `tags`, unless a container lies between."""
+            last = max((places[t][-1] for t in tags if places[t]), default=-1)
+            # A container that is itself among the tags is its own bound.
+            if last >= 0 and (not bounds or last >= bounds[-1]):
+                pop(last)
+
+        while True:
+            token = _TOKEN.search(page, at)
+            piece = page[at : token.start() if token else len(page)]
+            if piece:
+                if stack and stack[-1][2]:
+                    self.dropped |= not piece.isspace()
+                else:
+                    held.append(piece)
+                    linked += len(piece) if places["a"] else 0
+            if token is None:
+                break
+            at = token.end()
+            ending, name, rest = token[1], token[2], token[3]
+            if name is None or not token[4]:
+                continue
+            tag = name.lower()
+            if ending:
+                if tag == "p" and not places["p"]:
+                    finish()
+                if places[tag]:
+                    last = places[tag][-1]
+                    if tag in BLOCK or not in_block or last > in_block[-1]:
+                        pop(last)
+                continue
+            if tag == "br":
+                if not (stack and stack[-1][2]):
+                    held.append(" ")
+                continue
+            if tag in BLOCK:
+                finish()
+                close({"p"})
+            if tag in ENDS:
+                close(ENDS[tag])
+            if tag in VOID:
+                continue
+            if tag in RAW:
+                end = _CLOSE[tag].search(page, at)
+                at = page.find(">", end.end()) + 1 if end else 0
+                at = at or len(page)
+                continue
+            attributes = {
+                m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "")
+                for m in _ATTRIBUTE.finditer(rest)
+            }
+            _, path, furniture, suspect = stack[-1] if stack else ("", 0, False, 0)
+            if not furniture:
+                article = bool(places["article"])
+                found = _furniture(tag, attributes, article or bool(places["main"]), article, by_class)
+                furniture = found == SURE
+                if found == WEAK:
+                    self.suspects.append(suspect)
+                    suspect = len(self.suspects) - 1
+            if tag in BLOCK:
+                path = self._path(path, _label(tag, attributes))
+                in_block.append(len(stack))
+            if tag in BOUNDS:
+                bounds.append(len(stack))
+            places[tag].append(len(stack))
+            stack.append((tag, path, furniture, suspect))
+        pop(0)
+        finish()
+
+    def _judge(self) -> None:
+        """Leave out suspect containers, but none that holds most of the page's unlinked text."""
+        sizes = [0] * len(self.suspects)
+        for b in self.blocks:
+            sizes[b.suspect] += max(len(b.text) - b.linked, 0)
+        total = sum(sizes)
+        for s in range(len(sizes) - 1, 0, -1):
+            sizes[self.suspects[s]] += sizes[s]
+        out = [False] * len(sizes)
+        for s in range(1, len(sizes)):
+            out[s] = out[self.suspects[s]] or 2 * sizes[s] <= total
+        kept = [b for b in self.blocks if not out[b.suspect]]
+        self.dropped |= len(kept) < len(self.blocks)
+        self.blocks = kept
+
+    def names(self, path: int) -> tuple[str, ...]:
+        found = []
+        while path:
+            found.append(self.labels[path])
+            path = self.parents[path]
+        return tuple(reversed(found))
+
+    def under(self, names: tuple[str, ...]) -> list[str]:
+        """The texts of all blocks under a path; a bare last `article` or `main` is any one."""
+        path = 0
+        for name in names[:-1]:
+            path = self.children.get((path, name), -1)
+        ends = {self.children.get((path, names[-1]), -1)} if names else {0}
+        if names and names[-1] in ("article", "main"):
+            ends |= {n for n in range(len(self.labels)) if self.parents[n] == path and _tag(self.labels[n]) == names[-1]}
+        inside = [False] * len(self.labels)
+        for n in range(len(self.labels)):
+            inside[n] = n in ends or n > 0 and inside[self.parents[n]]
+        return [b.text for b in self.blocks if inside[b.path]]
+
+
+def best_path(page: Page) -> tuple[tuple[str, ...], float] | None:
     """The container with the most text outside of links, and its share of the page's.
 
-    Where what holds it has little more text, such as the heading, that is taken.
+    A block counts for the outermost article around it, else the outermost main, else for
+    what holds it. From there the container grows: to what holds it, where that adds
+    little, such as the heading, or more that is no list of links; to the whole body where
+    the siblings below it hold a good part of the text; and to all articles side by side.
     """
-    scores: dict[tuple[str, ...], float] = defaultdict(float)
-    sizes: dict[tuple[str, ...], int] = defaultdict(int)
-    for block in found:
-        if block.clean:
-            own = _container(block.path)
-            scores[own] += max(len(block.text) - 2 * block.linked, 0)
-            for depth in range(len(block.path) + 1):
-                sizes[block.path[:depth]] += len(block.text)
-    if not sizes:
+    if not page.blocks:
         return None
-    best = max(scores, key=lambda p: (scores[p], -len(p), p))
-    share = (scores[best] + 1) / (sizes[()] + 1)
-    while len(best) > 1 and _tag(best[-2]) not in ("html", "body"):
-        if _tag(best[-1]) in ("article", "main") or sizes[best[:-1]] > 1.25 * sizes[best]:
+    count = len(page.labels)
+    scores, sizes, linked = [0] * count, [0] * count, [0] * count
+    for b in page.blocks:
+        own = page.articles[b.path]
+        if own < 0:
+            own = page.mains[b.path]
+        if own < 0:
+            holds = page.depths[b.path] < 2 or _tag(page.labels[b.path]) in BOUNDS
+            own = b.path if holds else page.parents[b.path]
+        scores[own] += max(len(b.text) - 2 * b.linked, 0)
+        sizes[b.path] += len(b.text)
+        linked[b.path] += min(b.linked, len(b.text))
+    for n in range(count - 1, 0, -1):
+        sizes[page.parents[n]] += sizes[n]
+        linked[page.parents[n]] += linked[n]
+    best = max(range(count), key=lambda n: (scores[n], sizes[n] > 0, -page.depths[n], -n))
+    share = (scores[best] + 1) / (sizes[0] + 1)
+    if _tag(page.labels[best]) in ("article", "main"):
+        return _with_siblings(page, best, sizes, linked), share
+    while best and _tag(page.labels[best]) not in ("html", "body"):
+        parent = page.parents[best]
+        more, more_linked = sizes[parent] - sizes[best], linked[parent] - linked[best]
+        text = 2 * more_linked <= more
+        if _tag(page.labels[parent]) in ("html", "body", ""):
+            if not text or more - more_linked < max(SIBLING * (sizes[best] - linked[best]), 1):
+                break
+        elif more > 0.25 * sizes[best] and not text:
             break
-        best = best[:-1]
-    return best, share
-
-
-def page_blocks(page: str) -> list[Block]:
-    """blocks(), without regard to classes if these would leave nothing."""
-    found = blocks(page)
-    if found and not any(b.clean for b in found):
-        found = blocks(page, by_class=False)
+        best = parent
+    return page.names(best), share
+
+
+def _with_siblings(page: Page, best: int, sizes: list[int], linked: list[int]) -> tuple[str, ...]:
+    """The article's path, or that of all articles beside it if they hold a good part."""
+    names, tag, parent = page.names(best), _tag(page.labels[best]), page.parents[best]
+    others = [
+        n
+        for n in range(1, len(page.labels))
+        if n != best and page.parents[n] == parent and _tag(page.labels[n]) == tag
+    ]
+    beside = sum(sizes[n] - linked[n] for n in others)
+    if beside and beside >= SIBLING * (sizes[best] - linked[best]):
+        return (*names[:-1], tag)
+    more, more_linked = sizes[parent] - sizes[best], linked[parent] - linked[best]
+    if _tag(page.labels[parent]) == "main" and more <= 0.25 * sizes[best] and 2 * more_linked <= more:
+        return names[:-1]
+    return names
+
+
+def page_blocks(page: str) -> Page:
+    """The page, read without regard to classes if these would leave nothing."""
+    found = Page(page)
+    if not found.blocks and found.dropped:
+        found = Page(page, by_class=False)
     return found
 
 
 def main_text(page: str | None, path: str | None = None) -> str:
     """The text under `path`, or under the page's own best container; blocks joined by \\n."""
     found = page_blocks(page or "")
-    for wanted in (tuple(path.split("/")) if path else None, None):
-        if wanted is None:
-            own = best_path(found)
-            if own is None:
-                return ""
-            wanted = own[0]
-        texts = [b.text for b in found if b.clean and b.path[: len(wanted)] == wanted]
-        if texts:
-            return "\n".join(texts)
-    return ""
+    if path is not None and (texts := found.under(tuple(path.split("/")) if path else ())):
+        return "\n".join(texts)
+    own = best_path(found)
+    return "\n".join(found.under(own[0])) if own else ""
 
 
 def votes(pages: DataFrame) -> DataFrame:

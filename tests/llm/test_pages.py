@@ -1,7 +1,11 @@
 from __future__ import annotations
 
 import hashlib
+import html
 import io
+import random
+import time
+from html.parser import HTMLParser
 
 import pytest
 
@@ -155,3 +159,181 @@ def test_in_an_article_the_whole_class_says_it(name, kept):
 def test_main_holds_furniture_by_any_word():
     page = "<body><main><div class='header'>H</div><p>text</p><div class='sidebar-left'><p>bad</p></div></main></body>"
     assert articles.main_text(page) == "H\ntext"
+
+
+COMMENTS_AND_ADVERTS = [
+    "<div id=comments>{}</div>", "<section id=comments>{}</section>", "<div id=respond>{}</div>",
+    "<div id=disqus_thread>{}</div>", "<div class=post-comments>{}</div>",
+    "<div class=article-comments>{}</div>", "<div class=entry-comments>{}</div>",
+    "<div class=comment-thread>{}</div>", "<article class=comment>{}</article>",
+    "<div class=inline-ad>{}</div>", "<div class=ad-top>{}</div>", "<div class=google-ads>{}</div>",
+    "<div class=site-notice>{}</div>", "<ol class=commentlist><li>{}</ol>", "<div id=sidebar>{}</div>",
+    "<div style='display: none'>{}</div>", "<ul id='comment-list'><li>{}</ul>",
+]
+
+
+@pytest.mark.parametrize("part", COMMENTS_AND_ADVERTS)
+def test_no_comments_or_adverts_in_an_article(part):
+    page = f"<body><article><h1>T</h1><p>text</p>{part.format('<p>bad words</p>')}<p>more</p></article>"
+    assert articles.main_text(page) == "T\ntext\nmore"
+
+
+@pytest.mark.parametrize("inline, text", [
+    ("text<button>Share</button> more", "text more"),
+    ("text <label>Name</label>more", "text more"),
+    ("text <select><option>one</option><option>two</option></select>more", "text more"),
+    ("text <svg><title>x</title><text>drawn</text></svg>more", "text more"),
+    ("text <span class=ad>Buy</span>more", "text more"),
+    ("text <span hidden>unseen</span>more", "text more"),
+    ("text <b>bold <span class='ad-slot'>x</span><i>slanted</i></b> more", "text bold slanted more"),
+    ("text <a href=x class=topic>linked</a> more", "text linked more"),
+])
+def test_inline_furniture(inline, text):
+    assert articles.main_text(f"<article><p>{inline}</p></article>") == text
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<body><div class=a><p>one block of text</p></div><div class=b><p>another block</p></div>",
+     "one block of text\nanother block"),
+    ("<div class=a>one block of text</div><div class=b>another block</div>",
+     "one block of text\nanother block"),
+    ("<body><article class=x><p>one story</p></article><article class=y><p>two stories</p></article><div>stray</div>",
+     "one story\ntwo stories"),
+    ("<body><div id=page><div class=a><p>one block</p></div><div class=b><p>another block, longer</p></div></div>",
+     "one block\nanother block, longer"),
+    ("<body><main><h1>Head</h1><article><p>" + "long story " * 9 + "</p></article></main><div>stray</div>",
+     "Head\n" + ("long story " * 9).strip()),
+    ("<body><div class=links><a href=1>one link</a> <a href=2>two links</a></div><div class=t>the text itself</div>",
+     "the text itself"),
+])
+def test_siblings_stay_together(page, text):
+    assert articles.main_text(page) == text
+
+
+@pytest.mark.parametrize("mark", ["class=legal-text", "id=search-engines", "class='social-history'"])
+def test_one_word_does_not_drop_most_of_a_page(mark):
+    long = ("all the text of it " * 20).strip()
+    assert articles.main_text(f"<body><div {mark}><p>{long}</p></div><p>stray</p>") == long
+    inner = "<div class='sidebar-left'><p>brief</p></div>"
+    assert articles.main_text(f"<body><div {mark}><p>{long}</p>{inner}</div><p>stray</p>") == long
+    assert articles.main_text(f"<body><p>{long}</p><div {mark}><p>brief</p></div>") == long
+
+
+@pytest.mark.parametrize("page", [
+    "<div>t" * 17_000, "<i>" * 25_000 + "</b>" * 25_000, "<p>" * 33_000, "<h1>t" * 20_000,
+    "<b><div>" + "<i>" * 12_000 + "</b>" * 12_000, "<a x=\"" * 15_000, "<script>" + "</script " * 11_000,
+    "<ul><li>t" * 12_000, "<div class='sidebar-left x'>t" * 3_500, "<span class=ad>x" * 6_000,
+])
+def test_time_grows_with_the_page(page):
+    began = time.process_time()
+    articles.main_text(page)
+    assert time.process_time() - began < 3  # a second, on an idle machine
+
+
+class Reader(HTMLParser):
+    """An independent reader of well-formed pages: a tree of lists, then its article's blocks."""
+
+    BLOCKS = set("article h1 h2 p div section ul ol li blockquote table tr td figure figcaption pre".split())
+    OUT = set("nav aside footer form button select svg script style".split())
+    BAD = {"ad", "comments", "sidebar", "related-posts", "social-share"}
+
+    def __init__(self, page):
+        super().__init__(convert_charrefs=True)
+        self.root = self.top = ["root", {}, [], None]
+        self.feed(page)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "br":
+            self.top[2].append(" ")
+        elif tag not in ("meta", "img", "hr"):
+            node = [tag, dict(attrs), [], self.top]
+            self.top[2].append(node)
+            self.top = node
+
+    def handle_endtag(self, tag):
+        self.top = self.top[3]
+
+    def handle_data(self, data):
+        self.top[2].append(data)
+
+    def article(self):
+        out, held = [], []
+
+        def flush():
+            if text := " ".join("".join(held).split()):
+                out.append(text)
+            held.clear()
+
+        def walk(node):
+            tag, attrs, parts, _ = node
+            if tag in self.OUT or attrs.get("class") in self.BAD or "hidden" in attrs:
+                return
+            if tag in self.BLOCKS:
+                flush()
+            for part in parts:
+                held.append(part) if isinstance(part, str) else walk(part)
+            if tag in self.BLOCKS:
+                flush()
+
+        def find(node):
+            if node[0] == "article":
+                walk(node)
+            else:
+                for part in node[2]:
+                    if not isinstance(part, str):
+                        find(part)
+
+        find(self.root)
+        flush()
+        return "\n".join(out)
+
+
+def generated(seed):
+    rng = random.Random(seed)
+
+    def words(n=8):
+        return html.escape(" ".join(rng.choice(["tea", "x & y", "été", "a<b", "10", "漢字", "it's"]) for _ in range(rng.randint(1, n))))
+
+    def inline(depth=2):
+        parts = [words()]
+        for _ in range(rng.randint(0, 3)):
+            tag = rng.choice(["b", "i", "a href=/x", "span class=ad", "span", "button", "em", "span hidden"])
+            inner = inline(depth - 1) if depth else words()
+            parts.append(f"<{tag}>{inner}</{tag.split()[0]}>" + rng.choice([" ", "", "\n", "&nbsp;", "<br>"]) + words())
+        return "".join(parts)
+
+    def block(depth=3):
+        kind = rng.choice(["p", "p", "h2", "ul", "blockquote", "div", "section", "table", "bad", "out", "figure", "note"])
+        inner = "".join(block(depth - 1) for _ in range(rng.randint(1, 3))) if depth else f"<p>{inline()}</p>"
+        return {
+            "p": f"<p>{inline()}</p>", "h2": f"<h2 id='related-work'>{inline()}</h2>",
+            "ul": "<ul>" + "".join(f"<li>{inline()}</li>" for _ in range(3)) + "</ul>",
+            "blockquote": f"<blockquote>{inner}</blockquote>", "div": f"<div class='body-{rng.randint(0, 9)}'>{inner}</div>",
+            "section": f"<section id=s{rng.randint(0, 9)}>{inner}</section>",
+            "table": f"<table><tr><td>{inline()}</td><td>{inline()}</td></tr></table>",
+            "bad": f"<div class={rng.choice(['ad', 'comments', 'sidebar', 'related-posts', 'social-share'])}>{inner}</div>",
+            "out": f"<{(t := rng.choice(['aside', 'form', 'nav', 'svg', 'footer']))}>{inline()}</{t}>",
+            "figure": f"<figure><img src=x><figcaption>{inline()}</figcaption></figure>",
+            "note": "<!-- <p>no</p> --><script>var x='<p>';</script><style>p{}</style>",
+        }[kind]
+
+    story = "".join(block() for _ in range(rng.randint(1, 6)))
+    return (
+        f"<!DOCTYPE html><html><head><meta charset=utf-8><title>{words()}</title></head><body><nav>{inline()}</nav>"
+        f"<div class=ad>{inline()}</div><article><h1>{words()}</h1>{story}</article><footer>{inline()}</footer></body></html>"
+    )
+
+
+def test_agrees_with_an_independent_reader():
+    for seed in range(300):
+        page = generated(seed)
+        assert articles.main_text(page) == Reader(page).article(), page
+
+
+def test_agrees_on_the_given_pages(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("html").collect()
+    for r in rows:
+        # The pages leave <b> open and put <p> into it, which the reader doesn't mend.
+        page = r.html.replace("<p><b>", "<p>").replace("<br><p>", "</p><p>")
+        assert articles.main_text(r.html) == Reader(page).article()
