@@ -16,6 +16,7 @@ import tempfile
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -30,8 +31,12 @@ from pacewise.llm.store import ship_package, stored
 
 #: Words in the lexicon, at most this many bytes long; both bound what reaches the driver.
 LEXICON_WORDS, LEXICON_BYTES = 131_072, 48
-#: Characters taken at a time; what one task counts, and remembers, at most.
+#: Characters taken at a time; what one task counts, and remembers, at most, by words and
+#: by characters; words beyond KEPT_CHARS are not remembered when they have been merged.
 SLICE_CHARS, COUNTED_WORDS, REMEMBERED = 2_500_000, 250_000, 250_000
+COUNTED_CHARS, REMEMBERED_CHARS, KEPT_CHARS = 50_000_000, 10_000_000, 256
+#: Words of more bytes are merged by a heap instead of by looking for the lowest rank.
+SHORT_BYTES = 64
 
 # White space and words of the vocabulary's pre-tokenizer.
 WHITE = "\t-\r \x85\xa0  -     　"
@@ -95,6 +100,8 @@ class Vocabulary:
 
     def merge(self, word: bytes) -> list[int]:
         """The ids of one word: the leftmost pair of the lowest rank is merged until none is left."""
+        if len(word) > SHORT_BYTES:
+            return self.merge_long(word)
         find = self.merges.get
         ids = [self.inner[b] for b in word[:-1]] + [self.outer[word[-1]]]
         ranks = [find(a << ID_BITS | b, UNMERGED) for a, b in zip(ids, ids[1:])]
@@ -109,6 +116,38 @@ class Vocabulary:
                 ranks[i - 1] = find(ids[i - 1] << ID_BITS | made, UNMERGED)
         return ids
 
+    def merge_long(self, word: bytes) -> list[int]:
+        """The same, in time that grows little faster than the word.
+
+        Places are linked, and a heap holds (rank, place) of the pairs that can be merged;
+        an entry whose place has gone or makes another pair by now is skipped.
+        """
+        find = self.merges.get
+        ids = [self.inner[b] for b in word[:-1]] + [self.outer[word[-1]]]
+        end = len(ids)
+        following, before = list(range(1, end + 1)), list(range(-1, end - 1))
+        heap = [
+            (rank, i)
+            for i, (a, b) in enumerate(zip(ids, ids[1:]))
+            if (rank := find(a << ID_BITS | b, UNMERGED)) != UNMERGED
+        ]
+        heapify(heap)
+        while heap:
+            rank, i = heappop(heap)
+            j = following[i]
+            if ids[i] < 0 or j == end or find(ids[i] << ID_BITS | ids[j]) != rank:
+                continue
+            ids[i], ids[j] = rank & ID_MASK, -1
+            following[i] = after = following[j]
+            if after < end:
+                before[after] = i
+                if (new := find(ids[i] << ID_BITS | ids[after], UNMERGED)) != UNMERGED:
+                    heappush(heap, (new, i))
+            if (first := before[i]) >= 0:
+                if (new := find(ids[first] << ID_BITS | ids[i], UNMERGED)) != UNMERGED:
+                    heappush(heap, (new, first))
+        return [i for i in ids if i >= 0]
+
 
 def _byte_letters(alphabet: list[str]) -> list[str]:
     """The letter that stands for each byte: printable ones for themselves, the rest from U+0100."""
@@ -132,7 +171,7 @@ def count_words(docs: DataFrame, tokenizer: str, text_col: str = "text") -> Data
     """How often each word (utf-8 bytes) occurs in all documents: word, n."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, seen = _vocabulary(tokenizer), Counter()
+        vocabulary, seen, chars = _vocabulary(tokenizer), Counter(), 0
 
         def flush() -> pa.RecordBatch:
             parts = Counter()
@@ -149,8 +188,10 @@ def count_words(docs: DataFrame, tokenizer: str, text_col: str = "text") -> Data
 
         for text in _texts(batches, "text"):
             seen.update(vocabulary.words_of(text))
-            if len(seen) > COUNTED_WORDS:
+            chars += len(text)
+            if len(seen) > COUNTED_WORDS or chars > COUNTED_CHARS:
                 yield flush()
+                chars = 0
         if seen:
             yield flush()
 
@@ -210,6 +251,7 @@ class Encoder:
     def forget(self) -> None:
         """Drop all pieces: a row has its ids, between two offsets, and its tokens as text."""
         self.rows: dict = {}
+        self.chars = 0
         self.ids, self.offsets = np.zeros(0, np.int64), np.zeros(1, np.int64)
         self.shown: list[str] = []
 
@@ -224,7 +266,9 @@ class Encoder:
         for i in missing.tolist():
             ids = self.merged.get(parts[i])
             if ids is None:
-                ids = self.merged[parts[i]] = self.vocabulary.merge(raw[i])
+                ids = self.vocabulary.merge(raw[i])
+                if len(parts[i]) <= KEPT_CHARS:
+                    self.merged[parts[i]] = ids
             own.append(ids)
         # Behind the lexicon's rows stand those of the merged words.
         rows = places.copy()
@@ -262,13 +306,14 @@ class Encoder:
         bounds = ends.tolist()
         self.shown += [" ".join(names[a:b]) for a, b in zip(bounds, bounds[1:])]
         self.rows.update(zip(pieces, range(len(self.rows), len(self.rows) + len(pieces))))
+        self.chars += sum(len(p) for p in pieces if isinstance(p, str))
         self.ids = np.concatenate([self.ids, flat[at]])
         self.offsets = np.concatenate([self.offsets, self.offsets[-1] + ends[1:]])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
         """Flat ids, offsets by text, and the decoded texts."""
         split = [self.vocabulary.words_of(t) for t in texts]
-        if len(self.rows) > REMEMBERED:
+        if len(self.rows) > REMEMBERED or self.chars > REMEMBERED_CHARS:
             self.forget()
         new = set(chain.from_iterable(split)).difference(self.rows)
         if new:
@@ -316,7 +361,7 @@ def encode(
     alone, have no ids and decode to the empty text. Each row is one result, repeated
     ones too; an empty table gives an empty result; other columns are not read.
     `tokenizer` is the file's path on every executor. Memory holds SLICE_CHARS
-    characters, or one text if that is longer.
+    characters, or one text if that is longer, and REMEMBERED_CHARS of earlier pieces.
     """
     ship_package(docs.sparkSession)
     name = build_lexicon(docs, tokenizer, text_col, lexicon_words)

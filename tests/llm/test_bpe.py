@@ -66,3 +66,31 @@ def test_endings_are_shared(tmp_path):
     lexicon.compile_lexicon(words, str(tmp_path / "l"))
     # Minimal: the start, one state after any first letter, and the ending's four.
     assert len(set(lexicon.Lexicon(str(tmp_path / "l")).keys >> 8)) == 5
+
+
+@pytest.mark.parametrize("alphabet", ["ab", "etaoin", "é漢字a", "0123456789"])
+def test_long_words_merge_as_short_ones_do(monkeypatch, alphabet):
+    vocabulary, pick = bpe.Vocabulary(tokenizer()), random.Random(2)
+    for n in (2, 3, 64, 65, 300, 3000):
+        word = "".join(pick.choices(alphabet, k=n)).encode()
+        monkeypatch.setattr(bpe, "SHORT_BYTES", 10**9)
+        want = vocabulary.merge(word)
+        monkeypatch.setattr(bpe, "SHORT_BYTES", 0)
+        assert vocabulary.merge(word) == want
+
+
+def test_a_word_of_many_letters_is_merged_at_once(documents):
+    pick = random.Random(3)
+    texts = ["".join(pick.choices("etaoinshrdlu", k=200_000)), "漢字かな交じり文" * 20_000]
+    check(bpe.encode(documents([(i, t, "s") for i, t in enumerate(texts)]), tokenizer()).collect(), texts)
+
+
+def test_memory_is_bounded_by_characters(tmp_path, monkeypatch):
+    lexicon.compile_lexicon({}, str(tmp_path / "l"))
+    encoder = bpe.Encoder(bpe.Vocabulary(tokenizer()), lexicon.Lexicon(str(tmp_path / "l")))
+    monkeypatch.setattr(bpe, "REMEMBERED_CHARS", 50_000)
+    pick = random.Random(5)
+    for _ in range(40):
+        encoder.encode(["".join(pick.choices("abcdefgh", k=10_000)) for _ in range(2)])
+        assert encoder.chars <= 70_000 and len(encoder.ids) <= 70_000
+    assert not encoder.merged  # long words aren't remembered
