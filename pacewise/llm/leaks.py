@@ -11,7 +11,7 @@ from __future__ import annotations
 import os
 import pickle
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import repeat
 
@@ -30,12 +30,30 @@ WINDOW = 10
 WORDS_AT_ONCE = 200_000
 #: Automata that a worker keeps.
 KEPT = 4
-UNKNOWN = "\0"
+#: A word is this many characters to the automaton, each of a few kinds only: the automaton
+#: looks through the kinds that can follow one by one.
+LETTERS = 3
+UNKNOWN = "\0" * LETTERS
 
 
-def _letter(number: int) -> str:
-    """The character that stands for a word; surrogates are left out."""
-    return chr(number if number < 0xD800 else number + 0x800)
+def spelled(words: Iterable[bytes]) -> dict[bytes, str]:
+    """A spelling for each different word; a place in it has characters of its own.
+
+    So a word's spelling is never found across two others.
+    """
+    distinct = list(dict.fromkeys(words))
+    kinds = 2
+    while kinds**LETTERS < len(distinct):
+        kinds += 1
+
+    def spelling(number: int) -> str:
+        out = []
+        for place in range(LETTERS):
+            number, kind = divmod(number, kinds)
+            out.append(chr(1 + place * kinds + kind))
+        return "".join(out)
+
+    return {w: spelling(i) for i, w in enumerate(distinct)}
 
 
 class Scanner:
@@ -43,19 +61,17 @@ class Scanner:
 
     def __init__(self, items: list[tuple[str, list[bytes]]], window: int) -> None:
         self.names = [name for name, _ in items]
-        self.letters: dict[bytes, str] = {}
+        self.letters = spelled(w for _, words in items for w in words)
         holders: dict[str, list[int]] = {}
         for i, (_, words) in enumerate(items):
-            text = "".join(
-                self.letters.setdefault(w, _letter(len(self.letters) + 1)) for w in words
-            )
-            for at in range(max(len(text) - window, 0) + 1 if text else 0):
-                held = holders.setdefault(text[at : at + window], [])
+            text = "".join(map(self.letters.__getitem__, words))
+            for at in range(max(len(words) - window, 0) + 1 if words else 0):
+                held = holders.setdefault(text[at * LETTERS : (at + window) * LETTERS], [])
                 if not held or held[-1] != i:
                     held.append(i)
         self.automaton = ahocorasick.Automaton()
         for text, held in holders.items():
-            self.automaton.add_word(text, (len(text), held))
+            self.automaton.add_word(text, (len(text) // LETTERS, held))
         if holders:
             self.automaton.make_automaton()
 
@@ -64,8 +80,9 @@ class Scanner:
         if not self.letters:
             return
         text = "".join(map(self.letters.get, words, repeat(UNKNOWN)))
-        for end, (length, held) in self.automaton.iter(text):
-            yield end + 1 - length, end + 1, held
+        for last, (length, held) in self.automaton.iter(text):
+            end = (last + 1) // LETTERS
+            yield end - length, end, held
 
 
 @lru_cache(maxsize=KEPT)
