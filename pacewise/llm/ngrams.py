@@ -1,13 +1,14 @@
-"""Similarity join of documents by their five-word shingles, by MinHash banding.
-
-Each document gets TREES hashes of `depth` minima each; documents with an equal hash
-are candidates. The depth is the largest, up to MAX_DEPTH, at which a pair at the
-threshold has an equal hash with the wanted probability: a formula of the settings, not
-of the data. This fixed depth stands in place of an LSH forest, whose sorted tries
-would be shortened on the data. Documents with equal sets of shingles are one class and
-enter once. Classes that hashes connect form a block; a class's shingles are moved once
-to its block, or where the block is large to one tile row of it, and all candidates in
-it are verified exactly. No list of pairs is ever written.
+"""Similarity join of documents by their five-word shingles, by a MinHash LSH forest.
+
+Each document has a word of MAX_DEPTH minima in each of TREES tries; a trie's nodes at a
+depth are the documents with an equal prefix of that length. The join starts at full
+depth. A sample of pairs that meet there is verified exactly, and from their similarities
+follows the share of such links that prefixes of any lengths would find; prefixes are
+shortened, trie by trie, until that recall meets its target. Documents with equal sets of
+shingles are one class and enter once. Classes that prefixes connect form a block: a small
+block is one unit of work, in a large one each node of each trie is a unit of its own, or
+several if it is large. Every unit verifies its pairs on the whole sets, and a pair counts
+in the first trie that brings it together. No list of pairs is ever written.
 """
 
 from __future__ import annotations
@@ -24,24 +25,47 @@ from pacewise.llm.store import ship_package, stored
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.999
 TREES, MAX_DEPTH = 24, 8
-#: Classes and shingles in one tile; larger blocks are cut into tiles.
+#: Pairs that are verified to find the depths, one of a node, and the share of them, the
+#: least similar ones, that the recall is measured on.
+SAMPLE_PAIRS, LEAST_SIMILAR = 8_000, 0.1
+#: Classes and shingles in one tile; larger blocks and nodes are cut into tiles.
 TILE, TILE_SHINGLES = 512, 1_000_000
 SLICE_BYTES = 2_000_000
 SEED = 7
+#: Bytes of a minimum in a word.
+LETTER = 2
 
 _ODD = 0x9E3779B97F4A7C15
 _MULTIPLIER = np.uint64(_ODD)
 _SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
-def depth_for(
-    recall: float = RECALL, threshold: float = THRESHOLD, trees: int = TREES, deepest: int = MAX_DEPTH
-) -> int:
-    """The longest prefix with which a pair at the threshold meets in some tree often enough."""
-    for depth in range(deepest, 1, -1):
-        if 1 - (1 - threshold**depth) ** trees >= recall:
-            return depth
-    return 1
+def expected_recall(depths: list[int], similarities: dict[float, float]) -> float:
+    """The share of links found by prefixes of these lengths, links weighted by similarity."""
+    total = sum(similarities.values())
+    missed = 0.0
+    for s, weight in similarities.items():
+        chance = 1.0
+        for d in depths:
+            chance *= 1 - s**d
+        missed += weight * chance
+    return 1 - missed / total
+
+
+def shortened(
+    similarities: dict[float, float],
+    recall: float = RECALL,
+    trees: int = TREES,
+    deepest: int = MAX_DEPTH,
+) -> list[int]:
+    """Prefix lengths of the tries: full depth, one trie after another shortened by one
+    until the recall is met or all are 1."""
+    depths = [deepest] * trees
+    turn = 0
+    while expected_recall(depths, similarities) < recall and max(depths) > 1:
+        depths[turn % trees] -= 1
+        turn += 1
+    return depths
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -108,18 +132,25 @@ def set_keys(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return out[0], out[1]
 
 
-def prefixes(flat: np.ndarray, offsets: np.ndarray, trees: int, depth: int) -> np.ndarray:
-    """For each set and tree the hash of its prefix; sets must not be empty."""
+def words_of_tries(flat: np.ndarray, offsets: np.ndarray, trees: int, depth: int) -> np.ndarray:
+    """For each set and trie its word: `depth` minima, cut to LETTER bytes; no set is empty."""
     rng = np.random.default_rng(SEED)
-    keys = np.zeros((len(offsets) - 1, trees), np.uint64)
+    out = np.zeros((len(offsets) - 1, trees, depth), np.uint16)
     for tree in range(trees):
-        key = np.full(len(offsets) - 1, tree + 1, np.uint64)
-        for _ in range(depth):
+        for place in range(depth):
             odd, shift = rng.integers(0, 1 << 63, 2, dtype=np.uint64)
-            least = np.minimum.reduceat(
-                (flat * (odd * np.uint64(2) + np.uint64(1)) + shift) >> np.uint64(24), offsets[:-1]
-            )
-            key = _mix(key * _MULTIPLIER + least)
+            mixed = flat * (odd * np.uint64(2) + np.uint64(1)) + shift
+            out[:, tree, place] = _mix(np.minimum.reduceat(mixed >> np.uint64(24), offsets[:-1]))
+    return out
+
+
+def prefixes(words: np.ndarray, depths: list[int]) -> np.ndarray:
+    """For each set and trie the hash of its prefix of that trie's length."""
+    keys = np.zeros(words.shape[:2], np.uint64)
+    for tree, depth in enumerate(depths):
+        key = np.full(len(words), tree + 1, np.uint64)
+        for place in range(depth):
+            key = _mix(key * _MULTIPLIER + words[:, tree, place].astype(np.uint64))
         keys[:, tree] = key
     return keys.view(np.int64)
 
@@ -146,10 +177,10 @@ def _digests(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")]
 
 
-def signatures(rows: DataFrame, words: int, trees: int, depth: int) -> DataFrame:
-    """(doc_id, h1, h2, k1, k2, n, prefixes) of rows (doc_id, text, h1, h2).
+def signatures(rows: DataFrame, words: int, trees: int, depth: int = MAX_DEPTH) -> DataFrame:
+    """(doc_id, h1, h2, k1, k2, n, tries) of rows (doc_id, text, h1, h2).
 
-    A text without words has n = 0.
+    `tries` has the words of all tries, one after another. A text without words has n = 0.
     """
     kind = rows.schema["doc_id"].dataType.simpleString()
 
@@ -161,58 +192,78 @@ def signatures(rows: DataFrame, words: int, trees: int, depth: int) -> DataFrame
                 k1, k2 = set_keys(flat, offsets)
                 sizes = np.diff(offsets)
                 full = np.flatnonzero(sizes)
-                keys = prefixes(flat, np.append(offsets[full], len(flat)), trees, depth)
-                ends = np.concatenate([[0], np.cumsum(np.where(sizes > 0, trees, 0))])
+                raw = words_of_tries(flat, np.append(offsets[full], len(flat)), trees, depth).tobytes()
+                width = trees * depth * LETTER
+                tries: list[bytes | None] = [None] * len(sizes)
+                for i, row in enumerate(full.tolist()):
+                    tries[row] = raw[i * width : (i + 1) * width]
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(batch.column(c).slice(a, b - a) for c in ("doc_id", "h1", "h2")),
                         pa.array(k1),
                         pa.array(k2),
                         pa.array(sizes),
-                        _lists(keys.ravel(), ends),
+                        pa.array(tries, pa.binary()),
                     ],
-                    names=["doc_id", "h1", "h2", "k1", "k2", "n", "prefixes"],
+                    names=["doc_id", "h1", "h2", "k1", "k2", "n", "tries"],
                 )
 
     return rows.mapInArrow(
-        sign,
-        f"doc_id {kind}, h1 long, h2 long, k1 long, k2 long, n long, prefixes array<long>",
+        sign, f"doc_id {kind}, h1 long, h2 long, k1 long, k2 long, n long, tries binary"
     )
 
 
-def _shingled(rows: DataFrame, words: int) -> DataFrame:
-    """Rows (node, second, weight, block, text) with the shingles instead of the text.
+def _nodes(classes: DataFrame, depths: list[int], deepest: int = MAX_DEPTH) -> DataFrame:
+    """(node, n, prefixes): the trie nodes that a class is in, one for each trie."""
+    trees = len(depths)
+
+    def cut_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = np.frombuffer(b"".join(batch.column("tries").to_pylist()), np.uint16)
+            keys = prefixes(raw.reshape(-1, trees, deepest), depths)
+            ends = np.arange(len(keys) + 1) * trees
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), batch.column("n"), _lists(keys.ravel(), ends)],
+                names=["node", "n", "prefixes"],
+            )
+
+    rows = classes.select("node", "n", "tries")
+    return rows.mapInArrow(cut_words, "node long, n long, prefixes array<long>")
+
+
+def _shingled(rows: DataFrame, words: int, passed: dict[str, str]) -> DataFrame:
+    """Rows (node, k1, k2, text, ...) with the shingles instead of the text.
 
     Rows whose text has another set than the class `node` are left out. Of a repeated
-    row, whose copies meet in one task, the first stands for all.
+    row, whose copies meet in one task, the first stands for all. Columns `passed`, with
+    their types, stay.
     """
+    kept = ["node", *passed]
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
+        seen: set[int] = set()
 
-        def first(pair: tuple[int, int]) -> bool:
-            new = pair not in seen
-            seen.add(pair)
+        def first(node: int) -> bool:
+            new = node not in seen
+            seen.add(node)
             return new
 
         for batch in batches:
-            pairs = zip(batch.column("node").to_pylist(), batch.column("second").to_pylist())
-            batch = batch.filter(pa.array(map(first, pairs), pa.bool_()))
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            nodes = batch.column("node").to_numpy(zero_copy_only=False)
-            second = batch.column("second").to_numpy(zero_copy_only=False)
             for a, b in _slices(texts):
                 flat, offsets = shingle_sets(texts[a:b], words)
+                part = batch.slice(a, b - a)
                 k1, k2 = set_keys(flat, offsets)
-                own = pa.array((k1 == nodes[a:b]) & (k2 == second[a:b]))
-                part = batch.slice(a, b - a).select(["node", "weight", "block", "parts"])
-                arrays = [*part.columns, _lists(flat, offsets)]
-                names = ["node", "weight", "block", "parts", "shingles"]
-                yield pa.RecordBatch.from_arrays(arrays, names=names).filter(own)
+                own = (k1 == part.column("k1").to_numpy()) & (k2 == part.column("k2").to_numpy())
+                nodes = part.column("node").to_pylist()
+                mask = [bool(o) and first(n) for o, n in zip(own, nodes)]
+                arrays = [*(part.column(c) for c in kept), _lists(flat, offsets)]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*kept, "shingles"]).filter(
+                    pa.array(mask, pa.bool_())
+                )
 
-    return rows.mapInArrow(
-        shingle, "node long, weight long, block long, parts int, shingles array<long>"
-    )
+    types = ", ".join(f"{c} {t}" for c, t in passed.items())
+    return rows.mapInArrow(shingle, f"node long, {types + ', ' if types else ''}shingles array<long>")
 
 
 def _overlaps(
@@ -249,8 +300,13 @@ def _overlaps(
     return np.rint(out).astype(np.int64)
 
 
-def _verify(words_threshold: float, trees: int, depth: int):
-    """Verify the candidates of one unit: many small blocks, or one tile of a large one."""
+def _verify(threshold: float, depths: list[int], deepest: int = MAX_DEPTH):
+    """Verify the candidates of one unit: small blocks, or one tile of a large trie node.
+
+    `tree` is the trie of the unit, or -1 for whole blocks; of a node's pairs only those
+    count that don't meet in an earlier trie.
+    """
+    trees = len(depths)
 
     def verify(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
@@ -261,12 +317,14 @@ def _verify(words_threshold: float, trees: int, depth: int):
         sizes = shingles.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
         ends = np.cumsum(sizes)
         starts = ends - sizes
-        node, weight, block, part, left, right = (
-            table.column(c).to_numpy() for c in ("node", "weight", "block", "part", "low", "high")
+        node, weight, group, part, low, high, tree = (
+            table.column(c).to_numpy()
+            for c in ("node", "weight", "group", "part", "low", "high", "tree")
         )
         out_a, out_b, out_n = [], [], []
-        order = np.lexsort((node, block))
-        cuts = np.flatnonzero(np.diff(block[order])) + 1
+        order = np.lexsort((node, high, low, tree, group))
+        keys = np.stack([group, tree, low, high])[:, order]
+        cuts = np.flatnonzero((np.diff(keys) != 0).any(axis=0)) + 1
         for rows in np.split(order, cuts):
             rows = rows[np.append(True, np.diff(node[rows]) != 0)]  # a class once
             if len(rows) < 2:
@@ -274,17 +332,24 @@ def _verify(words_threshold: float, trees: int, depth: int):
             begin, end = starts[rows], ends[rows]
             offsets = np.concatenate([[0], np.cumsum(sizes[rows])])
             own = np.concatenate([flat[a:b] for a, b in zip(begin, end)])
-            keys = prefixes(own, offsets, trees, depth)
+            keys = prefixes(words_of_tries(own, offsets, trees, deepest), depths)
+            unit = int(tree[rows[0]])
             met = np.zeros((len(rows), len(rows)), bool)
-            for tree in range(trees):
-                met |= keys[:, tree, None] == keys[None, :, tree]
+            for t in range(trees):
+                same = keys[:, t, None] == keys[None, :, t]
+                if unit < 0:
+                    met |= same
+                elif t < unit:
+                    met |= same
+                elif t == unit:
+                    met = same & ~met
             # In a tile of two parts only pairs across them are new.
-            if left[rows[0]] != right[rows[0]]:
+            if low[rows[0]] != high[rows[0]]:
                 met &= part[rows][:, None] != part[rows][None, :]
             np.fill_diagonal(met, False)
             common = _overlaps(own, offsets[:-1], offsets[1:], met)
             union = sizes[rows][:, None] + sizes[rows][None, :] - common
-            links = met & (common >= words_threshold * union)
+            links = met & (common >= threshold * union)
             counted = links @ weight[rows]
             has = np.flatnonzero(counted)
             out_a.append(node[rows[has]])
@@ -302,6 +367,107 @@ def _verify(words_threshold: float, trees: int, depth: int):
     return verify
 
 
+def _sampled_similarities(
+    texts: DataFrame, classes: DataFrame, words: int, threshold: float, trees: int, most: int
+) -> dict[float, float]:
+    """The least similar links of a verified sample of pairs: their weight by similarity.
+
+    The pairs are two classes of a trie node at full depth, of as many nodes as the sample
+    takes, chosen by their hash. A link of similarity s is in a node with probability
+    s ** MAX_DEPTH, so it weighs the inverse. Without any link the threshold stands for all.
+    """
+    full = _nodes(classes, [MAX_DEPTH] * trees).select("node", F.explode("prefixes").alias("prefix"))
+    # Two classes stand for a node, chosen by a hash of class and node: no pairs are listed.
+    by_chance = F.xxhash64("node", "prefix")
+    pairs = (
+        full.groupBy("prefix")
+        .agg(F.min_by("node", by_chance).alias("a"), F.max_by("node", by_chance).alias("b"))
+        .where("a <> b")
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "prefix")
+    )
+    pairs = stored(pairs, "sample")
+    total = pairs.count()
+    if not total:
+        return {threshold: 1.0}
+    limit = min(1.0, most / total)
+    place = F.pmod(F.xxhash64("prefix", F.lit(3)), F.lit(1 << 40))
+    pairs = pairs.where(place < F.lit(int(limit * (1 << 40)))).select("a", "b")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct()
+    # At most two classes for each of `most` pairs.
+    chosen = classes.join(F.broadcast(ends), F.col("node") == F.col("end"))
+    rows = texts.join(F.broadcast(chosen.select("first", "node", "k1", "k2")), _is_first())
+    sets = stored(_shingled(rows.select("node", "k1", "k2", "text"), words, {}), "sampled")
+    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
+    two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
+    common = F.size(F.array_intersect("left", "right"))
+    alike = common / (F.size("left") + F.size("right") - common)
+    found = (
+        pairs.join(one, "a").join(two, "b")
+        .select(F.floor(alike * 100).alias("hundredths"), alike.alias("alike"))
+        .where(F.col("alike") >= threshold)
+        .groupBy("hundredths").count().orderBy("hundredths").collect()
+    )
+    weights = [(max(r.hundredths / 100, threshold), r["count"]) for r in found]
+    weights = [(s, n / s**MAX_DEPTH) for s, n in weights]
+    if not weights:
+        return {threshold: 1.0}
+    out, room = {}, LEAST_SIMILAR * sum(w for _, w in weights)
+    for s, w in weights:
+        out[s] = min(w, room)
+        room -= out[s]
+        if room <= 0:
+            break
+    return out
+
+
+def _is_first() -> Column:
+    """Whether a text is the one that stands for its class."""
+    return (
+        F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+        & (F.col("h1") == F.col("first.h1"))
+        & (F.col("h2") == F.col("first.h2"))
+    )
+
+
+def _new_nodes(met: DataFrame, blocks: DataFrame, trees: int) -> DataFrame:
+    """(prefix, tree, many, length) of the trie nodes in large blocks that have new pairs.
+
+    A node whose classes are all together in an earlier trie, too, has none.
+    """
+    rows = met.join(blocks, F.col("node") == F.col("block_node")).select(
+        "node", "n", "prefixes", F.posexplode("prefixes").alias("tree", "prefix")
+    )
+    earlier = [
+        F.min(F.col("prefixes")[t]).eqNullSafe(F.max(F.col("prefixes")[t])).alias(f"_{t}")
+        for t in range(trees)
+    ]
+    found = rows.groupBy("tree", "prefix").agg(
+        F.count("*").alias("many"), F.sum("n").alias("length"), F.array(*earlier).alias("together")
+    )
+    before = F.slice("together", F.lit(1), F.col("tree"))
+    new = (F.col("many") > 1) & ~F.exists(before, lambda x: x)
+    return found.where(new).select("tree", "prefix", "many", "length")
+
+
+def _parts(many: str, length: str) -> Column:
+    return F.ceil(
+        F.greatest(F.col(many) / TILE, F.col(length) / TILE_SHINGLES)
+    ).cast("int")
+
+
+def _tiles(rows: DataFrame, unit: Column) -> DataFrame:
+    """A row for each tile that a class is in: its part of `group` against every part."""
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    return (
+        rows.withColumn("part", part)
+        .withColumn("partner", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .withColumn("low", F.least("part", "partner"))
+        .withColumn("high", F.greatest("part", "partner"))
+        .withColumn("unit", unit)
+        .select("unit", "group", "tree", "node", "weight", "part", "low", "high", "shingles")
+    )
+
+
 def _classes(
     docs: DataFrame,
     id_col: str,
@@ -313,18 +479,18 @@ def _classes(
 ) -> tuple[DataFrame, DataFrame]:
     """The signatures of all rows, and for each set of shingles what it links with.
 
-    The latter is (node, second, first, root, weight, others): `first` names the row with
-    the smallest id by (no_id, doc_id, h1, h2), sets of one `root` are connected, `weight`
-    rows have the set and `others` link with it.
+    The latter is (k1, k2, first, root, weight, others): `first` names the row with the
+    smallest id by (no_id, doc_id, h1, h2), sets of one `root` are connected, `weight`
+    rows have the set and `others` link with it. A set goes by the number that it has in
+    the stored table of sets, so no two are taken for one.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    depth = depth_for(recall, threshold, trees)
     text = F.col(text_col)
     texts = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), *_digests(text))
-    signed = stored(signatures(texts, words, trees, depth), "signatures")
+    signed = stored(signatures(texts, words, trees), "signatures")
     # One class for each set; its first row stands for it.
-    classes = stored(
+    classes = (
         signed.where("n > 0")
         .groupBy("k1", "k2", "n")
         .agg(
@@ -332,76 +498,75 @@ def _classes(
                 "first"
             ),
             F.count("*").alias("weight"),
+            F.first("tries").alias("tries"),
         )
-        .select(F.col("k1").alias("node"), F.col("k2").alias("second"), "n", "first", "weight"),
-        "classes",
+        .withColumn("node", F.monotonically_increasing_id())
     )
-    own = (
-        F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
-        & (F.col("h1") == F.col("first.h1"))
-        & (F.col("h2") == F.col("first.h2"))
-    )
-    same = own & (F.col("k1") == F.col("node")) & (F.col("k2") == F.col("second"))
-    met = (
-        signed.join(classes, same, "left_semi")
-        .select(F.col("k1").alias("node"), F.explode("prefixes").alias("prefix"))
-    )
-    bucket = met.groupBy("prefix").agg(
+    classes = stored(classes, "classes")
+    similar = _sampled_similarities(texts, classes, words, threshold, trees, SAMPLE_PAIRS)
+    depths = shortened(similar, recall, trees)
+    met = stored(_nodes(classes, depths), "nodes")
+    spread = met.select("node", F.explode("prefixes").alias("prefix"))
+    bucket = spread.groupBy("prefix").agg(
         F.min("node").alias("hub"), F.max("node").alias("other")
     ).where("hub < other").select(F.col("prefix").alias("shared"), "hub")
-    edges = met.join(bucket, F.col("prefix") == F.col("shared")).select(
+    edges = spread.join(bucket, F.col("prefix") == F.col("shared")).select(
         F.col("node").alias("a"), F.col("hub").alias("b")
     )
     blocks = components(edges).select(
         F.col("node").alias("block_node"), F.col("root").alias("block")
     )
     placed = stored(
-        classes.join(blocks, F.col("node") == F.col("block_node")).drop("block_node"), "placed"
+        classes.drop("tries").join(blocks, F.col("node") == F.col("block_node")).drop("block_node"),
+        "placed",
     )
     sizes = placed.groupBy("block").agg(F.count("*").alias("many"), F.sum("n").alias("length"))
-    sizes = sizes.select(
-        F.col("block").alias("sized"),
-        F.ceil(
-            F.greatest(F.col("many") / TILE, F.col("length") / TILE_SHINGLES)
-        ).cast("int").alias("parts"),
-    )
+    sizes = sizes.select(F.col("block").alias("sized"), (_parts("many", "length") > 1).alias("large"))
     placed = stored(placed.join(sizes, F.col("block") == F.col("sized")).drop("sized"), "parts")
     total = placed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     together = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // TILE_SHINGLES))
-    once = placed.select("first", "node", "second", "weight", "block", "parts")
     # Texts of candidates are moved by id and digest at every size, so that costs grow in
     # proportion, and a text without an id of its own meets its own class only.
-    chosen = texts.join(once.hint("merge"), own)
-    sets = _shingled(chosen.select("node", "second", "weight", "block", "parts", "text"), words)
-    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    partner = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    units = (
-        sets.withColumn("part", part)
-        .withColumn("partner", partner)
-        .withColumn("low", F.least("part", "partner"))
-        .withColumn("high", F.greatest("part", "partner"))
-        .withColumn(
-            "unit",
-            F.when(F.col("parts") == 1, F.pmod(F.xxhash64("block"), F.lit(together))).otherwise(
-                F.xxhash64("block", "low", "high")
-            ),
+    once = placed.select("first", "node", "k1", "k2", "weight", "block", "large")
+    chosen = texts.join(once.hint("merge"), _is_first())
+    chosen = chosen.select("node", "k1", "k2", "weight", "block", "large", "text")
+    sets = _shingled(chosen, words, {"weight": "long", "block": "long", "large": "boolean"})
+    large = placed.where("large").select(F.col("node").alias("block_node"))
+    some_large = not large.isEmpty()
+    if some_large:  # these are read once for each trie
+        sets = stored(sets, "sets")
+    small = sets.where("NOT large").select(
+        "node", "weight", "shingles", F.col("block").alias("group"),
+        F.lit(-1).alias("tree"), F.lit(1).alias("parts"),
+    )
+    units = _tiles(small, F.pmod(F.xxhash64("group"), F.lit(together)))
+    if some_large:
+        # A class of a large block goes once to each of its trie nodes that has new pairs.
+        nodes = stored(_new_nodes(met, large, trees), "trie-nodes").select(
+            F.col("tree").alias("in_tree"), F.col("prefix").alias("in_prefix"),
+            _parts("many", "length").alias("parts"),
+        )
+        own = met.join(large, F.col("node") == F.col("block_node")).select(
+            F.col("node").alias("member"), F.posexplode("prefixes").alias("tree", "prefix")
         )
-    )
+        inside = own.join(
+            nodes, (F.col("tree") == F.col("in_tree")) & (F.col("prefix") == F.col("in_prefix"))
+        ).select("member", "tree", F.xxhash64("tree", "prefix").alias("group"), "parts")
+        several = sets.where("large").join(inside, F.col("node") == F.col("member"))
+        units = units.union(_tiles(several, F.xxhash64("group", "low", "high")))
     found = stored(
-        units.groupBy("unit").applyInArrow(
-            _verify(threshold, trees, depth), "a long, b long, n long"
-        ),
+        units.groupBy("unit").applyInArrow(_verify(threshold, depths), "a long, b long, n long"),
         "links",
     )
     counts = found.where("n > 0").groupBy("a").agg(F.sum("n").alias("others"))
     joined = components(found.where("n = 0").select("a", "b"))
-    named = classes.join(
+    named = classes.drop("tries").join(
         joined.select(F.col("node").alias("joined_node"), "root"),
         F.col("node") == F.col("joined_node"),
         "left",
     ).withColumn("root", F.coalesce("root", "node"))
     links = named.join(counts, F.col("node") == F.col("a"), "left").select(
-        "node", "second", "first", "root", "weight", "others"
+        "k1", "k2", "first", "root", "weight", "others"
     )
     return signed, links
 
@@ -433,13 +598,15 @@ def similarity_classes(
         F.min("first.doc_id").alias("class_id")
     )
     result = links.join(names, F.col("root") == F.col("named_root")).select(
-        "node",
-        "second",
+        F.col("k1").alias("of_k1"),
+        F.col("k2").alias("of_k2"),
         "class_id",
         (F.coalesce("others", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
     )
     return signed.join(
-        result, (F.col("k1") == F.col("node")) & (F.col("k2") == F.col("second")) & (F.col("n") > 0), "left"
+        result,
+        (F.col("k1") == F.col("of_k1")) & (F.col("k2") == F.col("of_k2")) & (F.col("n") > 0),
+        "left",
     ).select(
         "doc_id",
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
@@ -459,12 +626,20 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     firsts = links.groupBy("root").agg(F.min("first").alias("first")).select("first.*")
     names = ["doc_id", "h1", "h2"]
     kept = firsts.select(names).union(signed.where("n = 0").select(names).distinct())
-    kept = kept.select(*(F.col(c).alias(f"_kept_{c}") for c in names))
-    h1, h2 = _digests(F.col(text_col))
-    return docs.join(
-        kept,
-        F.col(id_col).eqNullSafe(F.col("_kept_doc_id"))
-        & (h1 == F.col("_kept_h1"))
-        & (h2 == F.col("_kept_h2")),
-        "left_semi",
-    ).dropDuplicates([id_col, text_col])
+    copies = signed.groupBy(*names).count().withColumnRenamed("count", "_many")
+    copies = copies.select(*(F.col(c).alias(f"_copy_{c}") for c in names), "_many")
+    kept = kept.join(copies, _same_row("_copy_", F.col("doc_id"), F.col("h1"), F.col("h2")))
+    kept = kept.select(*(F.col(c).alias(f"_kept_{c}") for c in names), "_many")
+    joined = docs.join(kept, _same_row("_kept_", F.col(id_col), *_digests(F.col(text_col))))
+    once = joined.where("_many = 1").select(docs.columns)
+    # Only rows that are repeated are compared, and moved for it.
+    repeated = joined.where("_many > 1").dropDuplicates([id_col, text_col])
+    return once.union(repeated.select(docs.columns))
+
+
+def _same_row(prefix: str, doc_id: Column, h1: Column, h2: Column) -> Column:
+    return (
+        doc_id.eqNullSafe(F.col(f"{prefix}doc_id"))
+        & (h1 == F.col(f"{prefix}h1"))
+        & (h2 == F.col(f"{prefix}h2"))
+    )

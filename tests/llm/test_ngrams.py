@@ -87,18 +87,71 @@ def test_empty_table(documents):
 
 
 def test_prefixes_shorten_until_the_recall_is_met():
+    full = [ngrams.MAX_DEPTH] * ngrams.TREES
+    assert ngrams.shortened({0.99: 3.0}) == full
     for recall in (0.9, 0.99, 0.999, 0.9999):
-        depth = ngrams.depth_for(recall)
-        assert 1 - (1 - 0.8**depth) ** ngrams.TREES >= recall
-        assert depth == ngrams.MAX_DEPTH or 1 - (1 - 0.8 ** (depth + 1)) ** ngrams.TREES < recall
+        for alike in ({0.8: 1.0}, {0.8: 1.0, 0.85: 5.0}, {0.82: 2.0}):
+            depths = ngrams.shortened(alike, recall)
+            assert max(depths) - min(depths) <= 1 and ngrams.expected_recall(depths, alike) >= recall
+            if depths != full:  # the trie shortened last was needed
+                last = max(i for i, d in enumerate(depths) if d == min(depths))
+                longer = [d + (i == last) for i, d in enumerate(depths)]
+                assert ngrams.expected_recall(longer, alike) < recall
+    assert min(ngrams.shortened({0.0: 1.0})) == 1
 
 
 def test_prefixes_meet_as_often_as_sets_are_alike():
     rng = np.random.default_rng(3)
     common, own = rng.integers(0, 1 << 63, 800, dtype=np.uint64), rng.integers(0, 1 << 63, 400, dtype=np.uint64)
     flat = np.concatenate([np.sort(np.r_[common, own[:200]]), np.sort(np.r_[common, own[200:]])])
-    keys = ngrams.prefixes(flat, np.array([0, 1000, 2000]), 2000, 1)
-    assert abs((keys[0] == keys[1]).mean() - 800 / 1200) < 0.05
+    words = ngrams.words_of_tries(flat, np.array([0, 1000, 2000]), 2000, 3)
+    alike = 800 / 1200
+    for depth in (1, 2, 3):
+        keys = ngrams.prefixes(words, [depth] * 2000)
+        assert abs((keys[0] == keys[1]).mean() - alike**depth) < 0.05
+    mixed = ngrams.prefixes(words, [1] * 1000 + [3] * 1000)
+    assert (mixed[:, 1000:] == keys[:, 1000:]).all()
+
+
+def test_recall_at_the_threshold_is_measured(documents):
+    """Pairs of similarity 0.8 to 0.83: nearly all of them are found, by a known rate."""
+    rows = []
+    for i in range(400):
+        words = sentence(i, 124).split()  # 120 shingles, 13 lost by 3 edits apart
+        other = list(words)
+        other[30] = other[100] = f"x{i}"
+        rows += [(2 * i, " ".join(words), "s"), (2 * i + 1, " ".join(other), "s")]
+    alike = [len(shingles(a[1]) & shingles(b[1])) / len(shingles(a[1]) | shingles(b[1])) for a, b in zip(rows[::2], rows[1::2])]
+    assert 0.8 <= min(alike) and max(alike) < 0.86
+    got = ngrams.similarity_classes(documents(rows)).collect()
+    assert sum(r.n_links for r in got) / 2 >= 0.99 * 400
+
+
+def test_a_chain_of_blocks_is_not_verified_all_against_all(documents, monkeypatch):
+    """Each text shares trie nodes with the next ones only; its set moves a bounded number of times."""
+    monkeypatch.setattr(ngrams, "TILE", 8)
+    words = sentence(77, 30_000).split()
+    rows = [(i, " ".join(words[i * 9 : i * 9 + 100]), "s") for i in range(3000)]
+    moved, tiles = [], ngrams._tiles
+
+    def counted(rows, unit):
+        out = tiles(rows, unit)
+        moved.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngrams, "_tiles", counted)
+    got = ngrams.similarity_classes(documents(rows)).collect()
+    assert sum(moved) <= 3 * ngrams.TREES * len(rows)
+    want = brute_chain(rows)
+    assert sum(r.n_links for r in got) >= 0.999 * 2 * want
+
+
+def brute_chain(rows):
+    sets = [shingles(t) for _, t, _ in rows]
+    return sum(
+        len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+        for i in range(len(sets)) for j in range(i + 1, min(i + 6, len(sets)))
+    )
 
 
 def test_components_match_brute_force(spark):
@@ -142,6 +195,6 @@ def test_one_row_of_each_class_stays_with_ids_missing_or_repeated(documents, row
 def test_texts_of_rows_without_an_id_meet_their_own_class_only(documents, monkeypatch):
     rows = [(None, edited(sentence(i % 10, 200), i, 200), "s") for i in range(60)]
     met, shingled = [], ngrams._shingled
-    monkeypatch.setattr(ngrams, "_shingled", lambda df, n: met.append(df.count()) or shingled(df, n))
+    monkeypatch.setattr(ngrams, "_shingled", lambda df, *more: met.append(df.count()) or shingled(df, *more))
     ngrams.similarity_classes(documents(rows)).collect()
-    assert met == [60]
+    assert met[-1] == 60  # after the sample
