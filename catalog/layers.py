@@ -26,6 +26,25 @@ DAILY_DIGITS = {
     "budget_utilization": 6,
     "revenue": 4,
 }
+DAILY_BY_KEY = """SELECT *, CASE WHEN spend > 0 THEN revenue / spend END AS roas,
+       CASE WHEN bookings > 0 THEN spend / bookings END AS cpa
+FROM (
+  SELECT date, ad_set_id, max(ad_set_name) AS ad_set_name,
+         CAST(coalesce(sum(impressions), 0) AS BIGINT) AS impressions,
+         CAST(coalesce(sum(clicks), 0) AS BIGINT) AS clicks,
+         coalesce(sum(spend), 0::DOUBLE) AS spend, coalesce(avg(ctr), 0) AS ctr,
+         coalesce(avg(cpm), 0) AS cpm, coalesce(avg(frequency), 0) AS frequency,
+         coalesce(sum(planned_spend), 0::DOUBLE) AS planned_spend,
+         coalesce(sum(actual_spend), 0::DOUBLE) AS actual_spend,
+         coalesce(avg(budget_utilization), 0) AS budget_utilization,
+         coalesce(max(pacing_status), 'unknown') AS pacing_status,
+         coalesce(sum(revenue), 0::DOUBLE) AS revenue,
+         CAST(coalesce(sum(bookings), 0) AS BIGINT) AS bookings,
+         CAST(coalesce(sum(soft_conversions), 0) AS BIGINT) AS soft_conversions
+  FROM (SELECT * FROM slv_performance UNION ALL BY NAME SELECT * FROM slv_budget
+        UNION ALL BY NAME SELECT * FROM conversion_totals)
+  GROUP BY date, ad_set_id)"""
+BY_KEY_DIGITS = DAILY_DIGITS | {"frequency": 6, "roas": 6, "cpa": 6}
 # Treats every key as hot, so that the salted join runs on the test tables too.
 SALT_ALL = {"rows_per_part": 0.5, "copies_per_piece": 1}
 
@@ -334,25 +353,8 @@ def conformed_layers(r: Registry) -> None:
         lambda s, d: conformed.daily_metrics_by_key(
             slv_performance(s, d), slv_budget(s, d), slv_conversions(s, d)
         ),
-        """SELECT *, CASE WHEN spend > 0 THEN revenue / spend END AS roas,
-                  CASE WHEN bookings > 0 THEN spend / bookings END AS cpa
-           FROM (
-             SELECT date, ad_set_id, max(ad_set_name) AS ad_set_name,
-                    CAST(coalesce(sum(impressions), 0) AS BIGINT) AS impressions,
-                    CAST(coalesce(sum(clicks), 0) AS BIGINT) AS clicks,
-                    coalesce(sum(spend), 0::DOUBLE) AS spend, coalesce(avg(ctr), 0) AS ctr,
-                    coalesce(avg(cpm), 0) AS cpm, coalesce(avg(frequency), 0) AS frequency,
-                    coalesce(sum(planned_spend), 0::DOUBLE) AS planned_spend,
-                    coalesce(sum(actual_spend), 0::DOUBLE) AS actual_spend,
-                    coalesce(avg(budget_utilization), 0) AS budget_utilization,
-                    coalesce(max(pacing_status), 'unknown') AS pacing_status,
-                    coalesce(sum(revenue), 0::DOUBLE) AS revenue,
-                    CAST(coalesce(sum(bookings), 0) AS BIGINT) AS bookings,
-                    CAST(coalesce(sum(soft_conversions), 0) AS BIGINT) AS soft_conversions
-             FROM (SELECT * FROM slv_performance UNION ALL BY NAME SELECT * FROM slv_budget
-                   UNION ALL BY NAME SELECT * FROM conversion_totals)
-             GROUP BY date, ad_set_id)""",
-        DAILY_DIGITS | {"frequency": 6, "roas": 6, "cpa": 6},
+        DAILY_BY_KEY,
+        BY_KEY_DIGITS,
     )
     r.add(
         "f11_f12_roas_and_cpa",

@@ -23,6 +23,7 @@ from catalog.registry import Registry
 from catalog.reports import AD_SETS, MONEY, WEEK_END, WEEK_START, _listed, _plan_sql
 from pacewise.operators import conformed, models, quality, report, whatif
 from pacewise.plans import conformed as conformed_plan
+from pacewise.plans import incremental
 from pacewise.plans import rolled as rolled_plan
 from pacewise.sources import readers, schemas as S
 from pacewise.sources import tables as T
@@ -75,6 +76,7 @@ def add_to(r: Registry) -> None:
     volumes(r)
     payload_parts(r)
     checks(r)
+    incremental_runs(r)
 
 
 def _broken_dates(spark: SparkSession, d: str) -> DataFrame:
@@ -511,3 +513,82 @@ def checks(r: Registry) -> None:
         _features,
         " UNION ALL ".join(f"SELECT '{c}' AS feature, count({c}) AS filled FROM train" for c in kept),
     )
+
+
+# --- incremental runs -------------------------------------------------------------
+
+
+def _earlier_files(spark: SparkSession, d: str, middle) -> dict[str, str]:
+    """The raw tables as they were: other rows on three days, one day less, one more."""
+    on = {n: F.to_date(S.DATE, S.DAY_FIRST) == F.date_add(F.lit(middle), n) for n in (0, 3, 5, 6)}
+
+    def more(c: str) -> F.Column:
+        return (F.col(c).cast("double") + 1).cast("string")
+
+    raw = {t: build(spark, d) for t, build in star.RAW.items()}
+    was = dict(raw)
+    was[S.PERFORMANCE] = raw[S.PERFORMANCE].withColumn(
+        "spend", F.when(on[0], more("spend")).otherwise(F.col("spend"))
+    )
+    was[S.PERFORMANCE] = was[S.PERFORMANCE].unionByName(
+        raw[S.PERFORMANCE].where(on[0]).withColumn(S.DATE, F.lit("28/02/2031"))
+    )
+    lost = F.coalesce(F.col(S.AD_SET).cast("bigint") % 7 == 0, F.lit(False))
+    was[S.BUDGET] = raw[S.BUDGET].where(~(on[3] & lost))
+    was[S.CONVERSIONS] = raw[S.CONVERSIONS].where(~on[6]).withColumn(
+        "value", F.when(on[5], more("value")).otherwise(F.col("value"))
+    )
+    paths = {}
+    for table, df in was.items():
+        paths[table] = f"{_csv_folder(spark)}-{table}"
+        T.export_csv(df, paths[table])
+    return paths
+
+
+@cache
+def incremental_run(spark: SparkSession, d: str) -> tuple[incremental.Run, dict[str, list]]:
+    """Two updates, the second over changed files; the second's days by table."""
+    days = typed(spark, d, S.BUDGET).select(F.to_date(S.DATE, S.DAY_FIRST).alias("day"))
+    first, last = days.agg(F.min("day"), F.max("day")).first()
+    middle = first + (last - first) / 2
+    names = scratch(spark, "bronze", "silver", "gold")
+    incremental.update(spark, incremental.Run(_earlier_files(spark, d, middle), *names))
+    run = incremental.Run(raw_files(spark, d), *names)
+    return run, incremental.update(spark, run)
+
+
+def _rewritten(spark: SparkSession, d: str) -> DataFrame:
+    _, days = incremental_run(spark, d)
+    rows = [(table, len(found)) for table, found in days.items()]
+    return spark.createDataFrame(rows, "table_name string, days int")
+
+
+def incremental_runs(r: Registry) -> None:
+    def gold(name: str):
+        return lambda s, d: s.table(f"{incremental_run(s, d)[0].gold}.{name}")
+
+    r.add(
+        "p01_incremental_daily",
+        gold(incremental.DAILY),
+        "SELECT * FROM gld_daily",
+        DAILY_DIGITS | {"roas": 6, "cpa": 6},
+    )
+    r.add("p02_incremental_counts", gold(incremental.COUNTS), "SELECT * FROM conv7")
+    r.add("p02_incremental_pacing", gold(incremental.PACING), "SELECT * FROM pacing")
+    r.add(
+        "s08_rewritten_days",
+        _rewritten,
+        # Performance: one day changed, one gone; conversions: one changed, one added.
+        """SELECT unnest(['bronze.meta_campaign_performance', 'silver.meta_campaign_performance',
+                          'bronze.budget_pacing', 'silver.budget_pacing',
+                          'bronze.conversion_events', 'silver.conversion_events',
+                          'gold.daily_metrics', 'gold.conversions_7d', 'gold.pacing']) AS table_name,
+                  unnest([2, 2, 1, 1, 2, 2, 5, 10,
+                          (SELECT count(DISTINCT date) FROM (
+                             SELECT a.ad_set_id, b.date AS changed, max(a.date) AS date
+                             FROM raw_budget a JOIN raw_budget b
+                               ON a.ad_set_id = b.ad_set_id AND a.date < b.date
+                             WHERE b.date = (SELECT min(date) + ((max(date) - min(date)) // 2)::INTEGER
+                                             FROM raw_budget) + 3
+                             GROUP BY a.ad_set_id, b.date)) + 1])::INTEGER AS days""",
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from math import ceil, floor
 
 from pyspark.sql import Column, DataFrame
@@ -10,69 +11,63 @@ from pyspark.sql import functions as F
 
 from pacewise.session import cut
 
+#: Leading hex digits of a hash that name a bucket.
 HASH_DIGITS = 4
-#: Copies of one row are counted before a bucket would hold more rows than this.
-BUCKET_ROWS = 1_000_000
+#: Copies of one row that are put back by one task.
+COPIES_PER_PIECE = 1_000_000
 
 
 def hash_position(
     df: DataFrame,
     keys: list[str],
     strata: list[str] | None = None,
-    bucket_rows: int = BUCKET_ROWS,
+    digits: int = HASH_DIGITS,
+    copies_per_piece: int = COPIES_PER_PIECE,
 ) -> DataFrame:
     """Add `position` (0-based) within each stratum, ordered by the md5 of `keys`.
 
-    The leading hex digits of the hash split a stratum into 65,536 even buckets.
-    Rows are numbered inside a bucket and moved up by the number of rows in the
-    buckets before it, so no task sorts a whole stratum. The table of offsets
-    has at most 65,536 rows per stratum (strata are label classes or bins).
-    Rows with the same keys share a bucket. If one has more than `bucket_rows` rows,
-    equal rows are counted and numbered, and the number enters the hash as well; so
-    copies of one row spread over the buckets, in the same way each time.
+    Equal rows are counted first, travel as one row and get consecutive positions, so
+    copies of a row fill no bucket, at any number. The leading `digits` hex digits of the
+    hash split a stratum into even buckets: rows are numbered inside a bucket and moved up
+    by the rows in the buckets before it, so no task sorts a whole stratum. More copies
+    than `copies_per_piece` are put back in pieces, each by a task of its own; neither
+    setting changes a position. A null stratum is a stratum. Different rows with the same
+    keys come in the order of a hash of all columns.
     """
-    strata = strata or []
+    strata, names = strata or [], df.columns
+    counted = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
     text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
-
-    def in_buckets(rows: DataFrame, text: Column) -> DataFrame:
-        return rows.withColumn("_hash", F.md5(text)).withColumn(
-            "_bucket", F.left("_hash", F.lit(HASH_DIGITS))
-        )
-
-    hashed = in_buckets(df, text)
-    fullest = hashed.groupBy(*strata, "_bucket").count().agg(F.max("count")).first()[0] or 0
-    if fullest > bucket_rows:
-        number = F.col("_number")
-        hashed = in_buckets(
-            _numbered_copies(df, bucket_rows), F.when(number == 0, text).otherwise(F.concat_ws("|", text, number))
-        ).drop("_number")
+    hashed = counted.withColumn("_hash", F.md5(text)).withColumn(
+        "_bucket", F.left("_hash", F.lit(digits))
+    )
     before = W.partitionBy(*strata).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        hashed.groupBy(*strata, "_bucket")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .drop("_n")
+    offsets = hashed.groupBy(*strata, "_bucket").agg(F.sum("_n").alias("_in"))
+    offsets = offsets.select(
+        *[F.col(c).alias(f"_of_{c}") for c in [*strata, "_bucket"]],
+        F.coalesce(F.sum("_in").over(before), F.lit(0)).alias("_offset"),
     )
-    inside = W.partitionBy(*strata, "_bucket").orderBy("_hash")
-    return (
-        hashed.withColumn("_row", F.row_number().over(inside))
-        .join(F.broadcast(offsets), strata + ["_bucket"])
-        .withColumn("position", F.col("_offset") + F.col("_row") - 1)
-        .drop("_hash", "_bucket", "_row", "_offset")
+    inside = W.partitionBy(*strata, "_bucket").orderBy("_hash", F.xxhash64(*names))
+    earlier = F.sum("_n").over(inside.rowsBetween(W.unboundedPreceding, -1))
+    # Numbered rows lie by bucket already, and a table of offsets may have many strata: it
+    # is for Spark to see whether it is small.
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in [*strata, "_bucket"]]
+    placed = (
+        hashed.withColumn("_earlier", F.coalesce(earlier, F.lit(0)))
+        .join(offsets, reduce(lambda a, b: a & b, same))
+        .select(*names, "_n", (F.col("_offset") + F.col("_earlier")).alias("_from"))
     )
-
-
-def _numbered_copies(df: DataFrame, piece: int) -> DataFrame:
-    """Every row with `_number`, 0 for the first of its equals; pieces spread over tasks."""
-    step = F.lit(piece).cast("bigint")
-    pieces = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1, step))
-    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    last = F.least(F.col("_from") + step, F.col("_n")) - 1
-    return (
-        counted.withColumn("_from", pieces)
-        .repartition(*df.columns, "_from")
-        .withColumn("_number", F.explode(F.sequence("_from", last)))
-        .drop("_n", "_from")
+    end = F.col("_from") + F.col("_n") - 1
+    few = placed.where(F.col("_n") <= copies_per_piece)
+    step = F.lit(copies_per_piece).cast("bigint")
+    pieces = (
+        placed.where(F.col("_n") > copies_per_piece)
+        .withColumn("_end", end)
+        .withColumn("_from", F.explode(F.sequence("_from", "_end", step)))
+        .repartition("_from")
+    )
+    last = F.least(F.col("_from") + step - 1, F.col("_end"))
+    return few.select(*names, F.explode(F.sequence("_from", end)).alias("position")).union(
+        pieces.select(*names, F.explode(F.sequence("_from", last)).alias("position"))
     )
 
 
@@ -144,3 +139,73 @@ def exact_quantiles(df: DataFrame, column: str, probs: list[float]) -> DataFrame
         step = F.col(f"_hi{i}") - F.col(f"_lo{i}")
         lerp.append(F.col(f"_lo{i}") + step * F.lit(place - floor(place)))
     return ranked.agg(*picks).select(F.array(*lerp).alias("quantiles"))
+
+
+def exact_quantiles_of(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
+    """Per column its exact, linearly interpolated quantiles: column_name, n, quantiles.
+
+    All columns are stacked as (column, value) and counted, which collapses copies, and
+    the counts are ordered by one range partitioning, whatever the number of columns. A
+    column lies in consecutive partitions, so prefix counts are one row for each column
+    and partition: at most as many as there are of both together. Null and NaN are no
+    values; a column without any has n = 0 and null quantiles.
+    """
+    if not columns:
+        raise ValueError("no columns")
+    stacked = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("_column"),
+                F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias("_value"),
+            )
+            for i, c in enumerate(columns)
+        ]
+    )
+    counts = (
+        df.select(F.inline(stacked))
+        .where(F.col("_value").isNotNull())
+        .groupBy("_column", "_value")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = cut(
+        counts.repartitionByRange(parts, "_column", "_value").withColumn(
+            "_part", F.spark_partition_id()
+        )
+    )
+    of_column = W.partitionBy("_column")
+    before = of_column.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = (
+        ranged.groupBy("_column", "_part")
+        .agg(F.sum("_n").alias("_in"))
+        .select(
+            "_column",
+            "_part",
+            F.coalesce(F.sum("_in").over(before), F.lit(0)).alias("_off"),
+            F.sum("_in").over(of_column).alias("_total"),
+        )
+    )
+    inside = W.partitionBy("_part", "_column").orderBy("_value")
+    upto = F.sum("_n").over(inside.rowsBetween(W.unboundedPreceding, W.currentRow))
+    ranked = ranged.join(F.broadcast(offsets), ["_column", "_part"]).withColumn(
+        "_cum", F.col("_off") + upto
+    )
+
+    def at(position: Column) -> Column:
+        covers = (F.col("_cum") > position) & (F.col("_cum") - F.col("_n") <= position)
+        return F.max(F.when(covers, F.col("_value")))
+
+    picks, lerp = [], []
+    for i, p in enumerate(probs):
+        place = F.lit(p) * (F.col("_total") - 1)
+        picks += [at(F.floor(place)).alias(f"_lo{i}"), at(F.ceil(place)).alias(f"_hi{i}")]
+        share = F.lit(p) * (F.col("_n") - 1)
+        step = (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (share - F.floor(share))
+        lerp.append(F.col(f"_lo{i}") + step)
+    found = ranked.groupBy("_column").agg(F.max("_total").alias("_n"), *picks)
+    names = df.sparkSession.createDataFrame(list(enumerate(columns)), "_i int, column_name string")
+    return names.join(
+        found.select("_column", "_n", F.array(*lerp).alias("quantiles")),
+        F.col("_i") == F.col("_column"),
+        "left",
+    ).select("column_name", F.coalesce("_n", F.lit(0)).cast("bigint").alias("n"), "quantiles")

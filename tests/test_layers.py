@@ -230,13 +230,27 @@ def test_repeated_keys_are_spread_over_the_buckets(spark, even_partitions):
     assert _largest_task(folds) < 0.3
     assert sorted(r["count"] for r in folds.groupBy("y", "fold").count().collect()) == [400] * 10
     copies = one_key.withColumn("x", F.lit(1))
-    placed = ranks.hash_position(copies, copies.columns, ["y"], bucket_rows=100)
+    placed = ranks.hash_position(copies, copies.columns, ["y"], copies_per_piece=100)
     assert _largest_task(placed) < 0.3
     for y in (0, 1):
         got = placed.filter(F.col("y") == y).select("position").collect()
         assert sorted(r[0] for r in got) == list(range(2000))
 
 
+def test_no_setting_changes_a_position(spark):
+    rows = [(i % 50, i % 3, "x" if i % 7 else None) for i in range(900)] + [(None, None, None)] * 40
+    df = spark.createDataFrame(rows, "id long, s int, t string")
+
+    def positions(**settings):
+        placed = ranks.hash_position(df, ["id", "t"], ["s"], **settings)
+        assert placed.columns == ["id", "s", "t", "position"]
+        return sorted(map(str, placed.collect()))
+
+    want = positions()
+    assert want == positions(copies_per_piece=1) == positions(digits=1) == positions(digits=2, copies_per_piece=5)
+    assert len(want) == 940 and sum("s=None" in w for w in want) == 40
+
+
 def test_quality_report(spark):
     df = spark.createDataFrame(
         [(1, 2.0, "a"), (2, None, None), (3, float("nan"), "c")], "n int, x double, s string"
