@@ -1,23 +1,27 @@
-"""Boosted-tree models with Spark ML: fit, cross-validate, calibrate, score."""
+"""Boosted-tree models with Spark ML: fit, cross-validate, calibrate, score, save and load."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from math import ceil
 from statistics import fmean, pstdev
 from typing import TypeVar
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.util import MLReadable, MLReader, MLWritable, MLWriter
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pacewise.functions.measures import finite
 from pacewise.operators.evaluate import regression_metrics, roc_auc
+from pacewise.operators.ranks import exact_quantiles_of
 from pacewise.operators.split import stratified_folds, target_folds
 from pacewise.session import cut, ensure_checkpoint_dir
 from pacewise.sources import schemas as S
@@ -33,6 +37,9 @@ CV_FOLDS = 5
 CHECKPOINT_EVERY = 10
 #: Folds fitted at the same time; Spark runs their jobs side by side.
 PARALLEL = 3
+#: Rows that one task of a fit holds. A tree is several jobs over all rows, so a fit over
+#: few rows should not be spread over many tasks.
+ROWS_PER_TASK = 200_000
 
 Out = TypeVar("Out")
 
@@ -72,17 +79,24 @@ def complete_rows(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.dropna(subset=columns)
 
 
-def _prepared(features: list[str], relative_error: float) -> list:
-    """Median imputation, assembly and standardisation."""
-    filled = [f"{f}__filled" for f in features]
+def _prepared(rows: DataFrame, features: list[str]) -> list:
+    """Median imputation, assembly and standardisation.
+
+    The medians are exact, those of all features come from one ordering, and they stand in
+    the stage's statement. A feature without any number is 0.
+    """
+    numbers = [f"{f}__number" for f in features]
+    medians = {
+        r.column_name: r.quantiles[0] if r.n else 0.0
+        for r in exact_quantiles_of(rows, numbers, [0.5]).collect()
+    }
+    filled = ", ".join(
+        f"coalesce(nanvl(`{c}`, NULL), {medians[c]!r}D) AS `{f}__filled`"
+        for f, c in zip(features, numbers)
+    )
     return [
-        Imputer(
-            strategy="median",
-            inputCols=[f"{f}__number" for f in features],
-            outputCols=filled,
-            relativeError=relative_error,
-        ),
-        VectorAssembler(inputCols=filled, outputCol="assembled"),
+        SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
+        VectorAssembler(inputCols=[f"{f}__filled" for f in features], outputCol="assembled"),
         StandardScaler(inputCol="assembled", outputCol="scaled", withMean=True),
     ]
 
@@ -91,6 +105,18 @@ def _typed(df: DataFrame, features: list[str]) -> DataFrame:
     return df.withColumns({f"{f}__number": F.col(f).cast("double") for f in features})
 
 
+def _training_rows(df: DataFrame, columns: list[str]) -> DataFrame:
+    """What a fit reads, written down once, in as few parts as its rows need.
+
+    Which part a row is in, and where, depends on the row alone, so the random choices
+    that a fit makes by part are the same in each run.
+    """
+    rows = df.select(*columns)
+    parts = max(1, ceil(rows.count() / ROWS_PER_TASK))
+    place = F.xxhash64(*columns)
+    return cut(rows.repartition(parts, place).sortWithinPartitions(place, *columns))
+
+
 def _tree_settings(trees: int) -> dict:
     return dict(
         featuresCol="scaled",
@@ -109,13 +135,13 @@ def fit_regressor(
     features: list[str],
     target: str,
     trees: int = TREES,
-    relative_error: float = 0.001,
 ) -> PipelineModel:
     """Imputation, scaling and a boosted-tree regressor."""
     ensure_checkpoint_dir(df.sparkSession)
     trainer = GBTRegressor(labelCol="_label", **_tree_settings(trees))
     rows = _typed(df, features).withColumn("_label", F.col(target).cast("double"))
-    return Pipeline(stages=[*_prepared(features, relative_error), trainer]).fit(rows)
+    rows = _training_rows(rows, [*(f"{f}__number" for f in features), "_label"])
+    return Pipeline(stages=[*_prepared(rows, features), trainer]).fit(rows)
 
 
 def fit_classifier(
@@ -124,7 +150,6 @@ def fit_classifier(
     label: str,
     trees: int = TREES,
     pos_weight: float = 1.0,
-    relative_error: float = 0.001,
 ) -> PipelineModel:
     """Imputation, scaling and a boosted-tree classifier; positives weigh `pos_weight`."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -135,7 +160,8 @@ def fit_classifier(
             "_weight": F.when(F.col(label) == 1, F.lit(float(pos_weight))).otherwise(F.lit(1.0)),
         }
     )
-    return Pipeline(stages=[*_prepared(features, relative_error), trainer]).fit(rows)
+    rows = _training_rows(rows, [*(f"{f}__number" for f in features), "_label", "_weight"])
+    return Pipeline(stages=[*_prepared(rows, features), trainer]).fit(rows)
 
 
 def positive_weight(df: DataFrame, label: str) -> float:
@@ -158,12 +184,77 @@ def predict_risk(model: PipelineModel, df: DataFrame, features: list[str], out:
     return scored.withColumn(out, vector_to_array("probability")[1]).select(*df.columns, out)
 
 
+class _EnsembleWriter(MLWriter):
+    def __init__(self, model: MLWritable) -> None:
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        for name, stage in self.model.stages().items():
+            stage.write().save(f"{path}/{name}")
+        text = json.dumps(self.model.facts())
+        rows = self.sparkSession.createDataFrame([(text,)], "value string")
+        # Written last: what can be read is whole.
+        rows.coalesce(1).write.text(f"{path}/facts")
+
+
+class _EnsembleReader(MLReader):
+    def __init__(self, kind: type) -> None:
+        super().__init__()
+        self.kind = kind
+
+    def load(self, path: str) -> object:
+        facts = json.loads(self.sparkSession.read.text(f"{path}/facts").first()[0])
+        if facts["kind"] != self.kind.__name__:
+            raise ValueError(f"{path} holds a {facts['kind']}, not a {self.kind.__name__}")
+        return self.kind.restored(path, facts)
+
+
+class _Saved(MLWritable, MLReadable):
+    """A model of several parts that is saved and loaded as one."""
+
+    def write(self) -> MLWriter:
+        return _EnsembleWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _EnsembleReader(cls)
+
+
 @dataclass
-class CalibratedRisk:
+class TreeModel(_Saved):
+    """A fitted tree pipeline with the features that it reads; `info` is kept beside it.
+
+    `risk` says whether the score is the probability of the positive class or a number.
+    """
+
+    features: list[str]
+    model: PipelineModel
+    risk: bool = False
+    info: dict = field(default_factory=dict)
+
+    def transform(self, df: DataFrame, out: str) -> DataFrame:
+        return (predict_risk if self.risk else predict)(self.model, df, self.features, out)
+
+    def stages(self) -> dict:
+        return {"trees": self.model}
+
+    def facts(self) -> dict:
+        return {"kind": "TreeModel", "features": self.features, "risk": self.risk, "info": self.info}
+
+    @classmethod
+    def restored(cls, path: str, facts: dict) -> TreeModel:
+        model = PipelineModel.load(f"{path}/trees")
+        return cls(facts["features"], model, facts["risk"], facts["info"])
+
+
+@dataclass
+class CalibratedRisk(_Saved):
     """Classifiers fitted on all but one part each, with that part's isotonic curve."""
 
     features: list[str]
     parts: list[tuple[PipelineModel, IsotonicRegressionModel]]
+    info: dict = field(default_factory=dict)
 
     def transform(self, df: DataFrame, out: str) -> DataFrame:
         """Add the mean calibrated probability, within [0, 1]."""
@@ -179,6 +270,31 @@ class CalibratedRisk:
         bounded = F.least(F.greatest(mean, F.lit(0.0)), F.lit(1.0))
         return df.withColumn(out, bounded).select(*kept, out)
 
+    def stages(self) -> dict:
+        named = {f"trees{i}": model for i, (model, _) in enumerate(self.parts)}
+        return named | {f"curve{i}": curve for i, (_, curve) in enumerate(self.parts)}
+
+    def facts(self) -> dict:
+        return {
+            "kind": "CalibratedRisk", "features": self.features, "parts": len(self.parts),
+            "info": self.info,
+        }
+
+    @classmethod
+    def restored(cls, path: str, facts: dict) -> CalibratedRisk:
+        parts = [
+            (PipelineModel.load(f"{path}/trees{i}"), IsotonicRegressionModel.load(f"{path}/curve{i}"))
+            for i in range(facts["parts"])
+        ]
+        return cls(facts["features"], parts, facts["info"])
+
+
+def score_saved(
+    spark: SparkSession, kind: type, path: str, df: DataFrame, out: str, keys: list[str]
+) -> DataFrame:
+    """The score table of a saved model: `keys` and its score for every row of `df`."""
+    return kind.load(path).transform(df, out).select(*keys, out)
+
 
 def fit_calibrated(
     df: DataFrame,

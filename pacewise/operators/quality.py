@@ -109,6 +109,7 @@ def issues(report: DataFrame) -> DataFrame:
     return report.filter("null_fraction > 0").orderBy(F.desc("null_fraction"), "column_name")
 
 
+# The printed titles of the report.
 REPORT_TITLES = {
     "column_name": "Column",
     "dtype": "Type",

@@ -47,6 +47,7 @@ class Run:
     by_key: bool = False
     model_dir: str | None = None
     counts: dict[str, int] = field(default_factory=dict)
+    reports: dict[str, dict] = field(default_factory=dict)
 
     def write(self, df: DataFrame, layer: str, name: str, **layout) -> None:
         self.counts[f"{layer}.{name}"] = write_table(df, f"{layer}.{name}", **layout)
@@ -97,12 +98,15 @@ def _parts(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split.filter(F.col("split") == TRAIN), split.filter(F.col("split") == TEST)
 
 
-def _report(spark: SparkSession, run: Run, name: str, model, features: list[str], row) -> dict:
+def _report(spark: SparkSession, run: Run, name: str, model: models.TreeModel, row) -> dict:
     """Metrics, features and importances; kept as JSON next to the saved model."""
-    ranked = models.importances(model, features, spark)
+    features = model.features
+    ranked = models.importances(model.model, features, spark)
     weights = {r["feature"]: r["importance"] for r in ranked.collect()}
     meta = {"metrics": row.asDict(), "features": features, "importances": weights}
+    run.reports[name] = meta
     if run.model_dir:
+        model.info = {"metrics": meta["metrics"]}
         model.write().overwrite().save(f"{run.model_dir}/{name}")
         metrics = [(k, float(v)) for k, v in meta["metrics"].items() if v is not None]
         report = spark.createDataFrame(
@@ -118,10 +122,15 @@ def train_bookings(spark: SparkSession, run: Run) -> dict:
     """Daily bookings from the gold training set, tested on the last fifth of the rows."""
     df = require_rows(spark.table(f"{run.gold}.{TRAINING}"), "training set")
     train, test = _parts(df)
-    model = models.fit_regressor(train, S.BOOKINGS_FEATURES, "target_bookings", run.trees)
-    scored = models.predict(model, test, S.BOOKINGS_FEATURES, "predicted")
-    row = evaluate.regression_metrics(scored, "target_bookings", "predicted").first()
-    return _report(spark, run, "bookings", model, S.BOOKINGS_FEATURES, row)
+    fitted = models.fit_regressor(train, S.BOOKINGS_FEATURES, "target_bookings", run.trees)
+    model = models.TreeModel(S.BOOKINGS_FEATURES, fitted)
+    scored = cut(model.transform(test, "predicted").select("target_bookings", "predicted"))
+    row = (
+        evaluate.regression_metrics(scored, "target_bookings", "predicted")
+        .withColumn("rows", F.lit(scored.count()))
+        .first()
+    )
+    return _report(spark, run, "bookings", model, row)
 
 
 def train_under_pacing(spark: SparkSession, run: Run) -> dict:
@@ -129,15 +138,17 @@ def train_under_pacing(spark: SparkSession, run: Run) -> dict:
     df = require_rows(spark.table(f"{run.gold}.{DAILY}"), "daily metrics")
     label = flag(F.col("pacing_status") == S.PACING_STATUSES[0])
     train, test = _parts(df.withColumn("label_under_pacing", label))
-    model = models.fit_classifier(train, S.UNDER_PACING_FEATURES, "label_under_pacing", run.trees)
-    scored = models.predict_risk(model, test, S.UNDER_PACING_FEATURES, "risk")
+    fitted = models.fit_classifier(train, S.UNDER_PACING_FEATURES, "label_under_pacing", run.trees)
+    model = models.TreeModel(S.UNDER_PACING_FEATURES, fitted, risk=True)
+    scored = cut(model.transform(test, "risk").select("label_under_pacing", "risk"))
     row = (
         evaluate.classification_metrics(scored, "label_under_pacing", "risk")
         .select("accuracy", "f1")
         .withColumn("auc", evaluate.roc_auc(scored, "label_under_pacing", "risk").scalar())
+        .withColumn("rows", F.lit(scored.count()))
         .first()
     )
-    return _report(spark, run, "under_pacing", model, S.UNDER_PACING_FEATURES, row)
+    return _report(spark, run, "under_pacing", model, row)
 
 
 def run_all(spark: SparkSession, run: Run) -> dict:
