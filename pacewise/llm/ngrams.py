@@ -430,23 +430,23 @@ def _is_first() -> Column:
 
 
 def _new_nodes(met: DataFrame, blocks: DataFrame, trees: int) -> DataFrame:
-    """(prefix, tree, many, length) of the trie nodes in large blocks that have new pairs.
+    """(block, tree, prefix, many, length) of the trie nodes of large blocks that have new pairs.
 
     A node whose classes are all together in an earlier trie, too, has none.
     """
     rows = met.join(blocks, F.col("node") == F.col("block_node")).select(
-        "node", "n", "prefixes", F.posexplode("prefixes").alias("tree", "prefix")
+        "block", "n", "prefixes", F.posexplode("prefixes").alias("tree", "prefix")
     )
     earlier = [
         F.min(F.col("prefixes")[t]).eqNullSafe(F.max(F.col("prefixes")[t])).alias(f"_{t}")
         for t in range(trees)
     ]
-    found = rows.groupBy("tree", "prefix").agg(
+    found = rows.groupBy("block", "tree", "prefix").agg(
         F.count("*").alias("many"), F.sum("n").alias("length"), F.array(*earlier).alias("together")
     )
     before = F.slice("together", F.lit(1), F.col("tree"))
     new = (F.col("many") > 1) & ~F.exists(before, lambda x: x)
-    return found.where(new).select("tree", "prefix", "many", "length")
+    return found.where(new).select("block", "tree", "prefix", "many", "length")
 
 
 def _parts(many: str, length: str) -> Column:
@@ -455,6 +455,31 @@ def _parts(many: str, length: str) -> Column:
     ).cast("int")
 
 
+def _trie_units(met: DataFrame, placed: DataFrame, trees: int) -> DataFrame | None:
+    """(block, tree, prefix, node_parts) of blocks that are verified by trie node, if any.
+
+    A large block is verified whole, every part against every part, or node by node of its
+    tries, whichever moves fewer copies of its sets: a dense one is moved less as a whole,
+    a chain whose ends have no node in common less by node, once for each trie at most.
+    """
+    large = placed.where("parts > 1").select(F.col("node").alias("block_node"), "block")
+    if large.isEmpty():
+        return None
+    nodes = _new_nodes(met, large, trees).withColumn("node_parts", _parts("many", "length"))
+    nodes = stored(nodes, "trie-nodes")
+    by_trie = nodes.groupBy("block").agg(F.sum(F.col("many") * F.col("node_parts")).alias("copies"))
+    blocks = placed.where("parts > 1").select(
+        F.col("block").alias("of_block"), (F.col("many") * F.col("parts")).alias("whole")
+    ).distinct()
+    cheaper = by_trie.join(blocks, F.col("block") == F.col("of_block")).where("copies < whole")
+    chosen = stored(
+        nodes.join(cheaper.select(F.col("block").alias("cheap")), F.col("block") == F.col("cheap"))
+        .drop("cheap"),
+        "split-nodes",
+    )
+    return None if chosen.isEmpty() else chosen
+
+
 def _tiles(rows: DataFrame, unit: Column) -> DataFrame:
     """A row for each tile that a class is in: its part of `group` against every part."""
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
@@ -521,39 +546,49 @@ def _classes(
         "placed",
     )
     sizes = placed.groupBy("block").agg(F.count("*").alias("many"), F.sum("n").alias("length"))
-    sizes = sizes.select(F.col("block").alias("sized"), (_parts("many", "length") > 1).alias("large"))
+    sizes = sizes.select(
+        F.col("block").alias("sized"), "many", _parts("many", "length").alias("parts")
+    )
     placed = stored(placed.join(sizes, F.col("block") == F.col("sized")).drop("sized"), "parts")
+    nodes = _trie_units(met, placed, trees)
     total = placed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     together = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // TILE_SHINGLES))
     # Texts of candidates are moved by id and digest at every size, so that costs grow in
     # proportion, and a text without an id of its own meets its own class only.
-    once = placed.select("first", "node", "k1", "k2", "weight", "block", "large")
+    once = placed.select("first", "node", "k1", "k2", "weight", "block", "parts")
     chosen = texts.join(once.hint("merge"), _is_first())
-    chosen = chosen.select("node", "k1", "k2", "weight", "block", "large", "text")
-    sets = _shingled(chosen, words, {"weight": "long", "block": "long", "large": "boolean"})
-    large = placed.where("large").select(F.col("node").alias("block_node"))
-    some_large = not large.isEmpty()
-    if some_large:  # these are read once for each trie
-        sets = stored(sets, "sets")
-    small = sets.where("NOT large").select(
-        "node", "weight", "shingles", F.col("block").alias("group"),
-        F.lit(-1).alias("tree"), F.lit(1).alias("parts"),
-    )
-    units = _tiles(small, F.pmod(F.xxhash64("group"), F.lit(together)))
-    if some_large:
-        # A class of a large block goes once to each of its trie nodes that has new pairs.
-        nodes = stored(_new_nodes(met, large, trees), "trie-nodes").select(
-            F.col("tree").alias("in_tree"), F.col("prefix").alias("in_prefix"),
-            _parts("many", "length").alias("parts"),
-        )
-        own = met.join(large, F.col("node") == F.col("block_node")).select(
+    chosen = chosen.select("node", "k1", "k2", "weight", "block", "parts", "text")
+    sets = _shingled(chosen, words, {"weight": "long", "block": "long", "parts": "int"})
+    unit = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("group"), F.lit(together))).otherwise(
+        F.xxhash64("group", "low", "high")
+    )
+    by_block = sets
+    if nodes is not None:
+        sets = stored(sets, "sets")  # some of these are read once more
+        split = nodes.select(F.col("block").alias("split")).distinct()
+        by_block = sets.join(split, F.col("block") == F.col("split"), "left_anti")
+    whole = [F.col("block").alias("group"), F.lit(-1).alias("tree"), "parts"]
+    units = _tiles(by_block.select("node", "weight", "shingles", *whole), unit)
+    if nodes is not None:
+        # A class goes once to each of its trie nodes that has new pairs.
+        several = placed.where("parts > 1").select(F.col("node").alias("of_large"))
+        own = met.join(several, F.col("node") == F.col("of_large")).select(
             F.col("node").alias("member"), F.posexplode("prefixes").alias("tree", "prefix")
         )
         inside = own.join(
-            nodes, (F.col("tree") == F.col("in_tree")) & (F.col("prefix") == F.col("in_prefix"))
-        ).select("member", "tree", F.xxhash64("tree", "prefix").alias("group"), "parts")
-        several = sets.where("large").join(inside, F.col("node") == F.col("member"))
-        units = units.union(_tiles(several, F.xxhash64("group", "low", "high")))
+            nodes.select(
+                F.col("tree").alias("in_tree"), F.col("prefix").alias("in_prefix"),
+                F.col("block").alias("in_block"), F.col("node_parts"),
+            ),
+            (F.col("tree") == F.col("in_tree")) & (F.col("prefix") == F.col("in_prefix")),
+        )
+        copies = sets.join(
+            inside, (F.col("node") == F.col("member")) & (F.col("block") == F.col("in_block"))
+        ).select(
+            "node", "weight", "shingles", F.xxhash64("tree", "prefix").alias("group"), "tree",
+            F.col("node_parts").alias("parts"),
+        )
+        units = units.union(_tiles(copies, F.xxhash64("group", "low", "high")))
     found = stored(
         units.groupBy("unit").applyInArrow(_verify(threshold, depths), "a long, b long, n long"),
         "links",
