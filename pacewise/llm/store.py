@@ -2,18 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
-from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import pacewise
+from pacewise.session import ensure_checkpoint_dir, ship_package
 
-from pacewise.session import ensure_checkpoint_dir
+__all__ = ["ascii_lower", "shared_folder", "ship_package", "stored"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -41,21 +37,3 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(
         F.translate(text, UPPER, UPPER.lower())
     )
-
-
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Give this package to the Python workers, whether or not it is installed there."""
-    context = spark.sparkContext
-    if context.applicationId in _SHIPPED:
-        return
-    package = Path(pacewise.__file__).parent
-    folder = tempfile.mkdtemp(prefix="package-", dir=SparkFiles.getRootDirectory())
-    path = f"{folder}/{package.name}.zip"
-    with zipfile.ZipFile(path, "w") as archive:
-        for file in sorted(package.rglob("*.py")):
-            archive.write(file, file.relative_to(package.parent))
-    context.addPyFile(path)
-    _SHIPPED.add(context.applicationId)
