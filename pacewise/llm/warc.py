@@ -18,7 +18,7 @@ from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pacewise.llm.store import shared_folder, ship_package, stored
@@ -30,6 +30,8 @@ REVISIT_BYTES = 100
 READ_BYTES = 64 << 10
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Records of pages go by this name and their id.
+NAME = "urn:page"
 WRITTEN = "path string, n_records long, n_bytes long"
 RECORDS = (
     "record_id string, record_type string, target_uri string, refers_to string, "
@@ -47,6 +49,11 @@ class Record(NamedTuple):
     payload: bytes | None
 
 
+def record_name(page_id: object) -> str:
+    """The record's name: what can't stand in a URI is percent-coded, no id leaves it off."""
+    return NAME if page_id is None else f"{NAME}:{quote(str(page_id), safe='')}"
+
+
 def record_bytes(
     record_id: str, url: str | None, payload: bytes, digest: str, refers_to: str | None = None
 ) -> bytes:
@@ -242,11 +249,11 @@ def write_archives(
                     file, records = open(f"{path}/{name}.warc.gz", "xb"), 0
                 file.write(
                     record_bytes(
-                        f"urn:page:{page_id}",
+                        record_name(page_id),
                         url,
                         payload,
                         digest,
-                        None if refers is None else f"urn:page:{refers}",
+                        None if refers is None else record_name(refers),
                     )
                 )
                 records += 1
@@ -303,12 +310,17 @@ def round_trip(spark: SparkSession, pages: DataFrame, folder: str | None = None)
     """
     folder = folder or shared_folder(spark, "warc")
     kind = pages.schema["page_id"].dataType
-    number = lambda c: F.when(F.col(c) != "urn:page:None", F.substring_index(c, ":", -1)).cast(kind)
+
+    def named(c: str) -> Column:
+        """The id that follows the first name, coded by record_name(); null without one."""
+        coded = F.substring(c, len(NAME) + 2, 1 << 30)
+        return F.when(F.col(c).startswith(f"{NAME}:"), F.url_decode(coded)).cast(kind)
+
     return read_archives(write_archives(pages, folder), with_payload=False).select(
-        number("record_id").alias("page_id"),
+        named("record_id").alias("page_id"),
         "payload_bytes",
         "payload_digest",
         "record_type",
-        number("refers_to").alias("refers_to"),
+        named("refers_to").alias("refers_to"),
         "target_uri",
     )

@@ -86,12 +86,21 @@ def test_round_trip(spark, tmp_path, monkeypatch):
     for i, url, html in rows:
         data = (html or "").encode()
         again = len(data) >= 100 and first[html or ""] != i
-        want.append((f"urn:page:{i}", "revisit" if again else "response", url,
+        name = "urn:page" if i is None else f"urn:page:{i}"
+        want.append((name, "revisit" if again else "response", url,
                      f"urn:page:{first[html or '']}" if again else None, len(data),
                      hashlib.sha256(data).hexdigest(), None if again else data))
     assert sorted(map(str, (tuple(r[:6]) + (r[6] and bytes(r[6]) if r[6] is not None else None,) for r in back))) == sorted(map(str, want))
 
 
+def test_text_ids_come_back_whole(spark):
+    ids = ["None", "a:b", "urn:page:7", "ü/%41 +&", "", None, "5"]
+    rows = [(i, "u", f"payload {n} " * 20) for n, i in enumerate(ids)] + [("again", "u", "payload 1 " * 20)]
+    pages = spark.createDataFrame(rows, "page_id string, url string, html string")
+    got = {r.page_id: (r.record_type, r.refers_to) for r in warc.round_trip(spark, pages).collect()}
+    assert got == {i: ("response", None) for i in ids} | {"again": ("revisit", "a:b")}
+
+
 def record(**change):
     data = b"payload " * 50
     args = dict(record_id="urn:page:1", url="u", payload=data, digest=hashlib.sha256(data).hexdigest()) | change
