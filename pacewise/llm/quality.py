@@ -130,9 +130,8 @@ def sample(
         .select("labelled_id", F.col("label").cast("double").alias("label"))
     )
     share = min(1.0, rows / max(known.count(), 1))
-    chosen = known.where(
-        F.pmod(F.xxhash64("labelled_id", F.lit(11)), F.lit(1 << 20)) < int(share * (1 << 20))
-    )
+    place = F.pmod(F.xxhash64("labelled_id", F.lit(11)), F.lit(1 << 60))
+    chosen = known.where(place < F.lit(int(share * (1 << 60))))
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
