@@ -109,13 +109,15 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     kept = exact_groups(docs, id_col, text_col).where("kept")
     # Only rows without an id need the digest to tell them apart.
-    kept = kept.select(
+    kept = kept.groupBy(
         F.col("doc_id").alias("_kept_id"),
         F.when(F.col("doc_id").isNull(), F.col("text_sha256")).alias("_kept_text"),
-    ).distinct()
+    ).agg(F.count("*").alias("_many"))
     digest = F.when(F.col(id_col).isNull(), F.sha2(ascii_lower(F.col(text_col)), 256))
-    return docs.join(
-        kept,
-        F.col(id_col).eqNullSafe(F.col("_kept_id")) & digest.eqNullSafe(F.col("_kept_text")),
-        "left_semi",
-    ).dropDuplicates([id_col, text_col])
+    joined = docs.join(
+        kept, F.col(id_col).eqNullSafe(F.col("_kept_id")) & digest.eqNullSafe(F.col("_kept_text"))
+    )
+    once = joined.where("_many = 1").select(docs.columns)
+    # Only rows that are repeated are compared, and moved for it.
+    repeated = joined.where("_many > 1").dropDuplicates([id_col, text_col])
+    return once.union(repeated.select(docs.columns))
