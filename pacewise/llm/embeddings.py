@@ -199,13 +199,14 @@ def similarity_links(
     spark = vectors.sparkSession
     ship_package(spark)
     rows = usable(vectors, id_col, vector_col, label_col)
-    equal = stored(
+    named = stored(
         rows.groupBy("label", "vector").agg(
             F.min("vec_id").alias("first_id"), F.count("*").alias("weight")
-        ),
+        )
+        # A vector goes by the number that it has in the stored table: no two share one.
+        .withColumn("node", F.monotonically_increasing_id()),
         "vectors",
     )
-    named = equal.withColumn("node", F.xxhash64("label", "vector"))
     # Vectors of floats travel as floats; each length, of which there are few, is a job.
     kind = np.float32 if vectors.schema[vector_col].dataType.elementType == T.FloatType() else np.float64
     found = spark.createDataFrame([], "a long, b long, n long")
