@@ -34,6 +34,7 @@ def trained_conformed(spark: SparkSession, d: str) -> conformed_plan.Run:
     """The conformed plan to its end: both models fitted, tested and saved."""
     run = conformed_run(spark, d)
     run.model_dir = run.model_dir or _model_dir(spark)
+    run.most_rows = boosted.MOST_ROWS
     conformed_plan.train_bookings(spark, run)
     conformed_plan.train_under_pacing(spark, run)
     return run
@@ -55,7 +56,7 @@ def _conformed_report(spark: SparkSession, d: str) -> DataFrame:
     for name, report in trained_conformed(spark, d).reports.items():
         m = report["metrics"]
         better = m["r2"] > 0 if "r2" in m else m["auc"] > 0.5
-        rows.append((name, len(report["features"]), m["rows"], better))
+        rows.append((name, len(report["features"]), report["rows"], better))
     return spark.createDataFrame(
         rows, "model string, features int, rows_tested bigint, better_on_holdout boolean"
     )
@@ -120,15 +121,16 @@ def _linear_scores(spark: SparkSession, d: str) -> DataFrame:
 
 
 @cache
-def _planted(spark: SparkSession, d: str) -> tuple[DataFrame, list[str], models.TreeModel]:
+def _planted(spark: SparkSession, d: str) -> tuple[DataFrame, list[str], boosted.BoostedModel]:
     """Holdout rows, features and a model of the rate, which one feature all but gives away."""
     rows = models.usable_rows(train(spark, d), RATE_TARGET).withColumns(
         {PLANTED: F.col(RATE_TARGET) * 3 + 1, CONSTANT: F.lit(7.0)}
     )
     features = [*models.checked_features(S.NEXT_DAY_RISK_FEATURES), PLANTED, CONSTANT]
     parts = split.date_fraction_split(cut(rows.select(S.DATE, RATE_TARGET, *features)))
-    fitted = models.fit_regressor(parts.where(F.col("split") == split.TRAIN), features, RATE_TARGET)
-    return parts.where(F.col("split") == split.VALID), features, models.TreeModel(features, fitted)
+    training = parts.where(F.col("split") == split.TRAIN)
+    model, _ = boosted.fit_one(training, features, RATE_TARGET, risk=False)
+    return parts.where(F.col("split") == split.VALID), features, model
 
 
 def _importances(spark: SparkSession, d: str) -> DataFrame:

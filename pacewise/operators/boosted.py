@@ -311,6 +311,17 @@ def _gains(facts: dict) -> dict[str, float]:
     return {f: float(g / total) for f, g in zip(facts["features"], gain)}
 
 
+def fit_one(
+    df: DataFrame, features: list[str], label: str, risk: bool, trees: int = models.TREES,
+    pos_weight: float = 1.0, most_rows: int = MOST_ROWS,
+) -> tuple[BoostedModel, dict[str, float]]:
+    """A plain classifier or regression, and its importances: each feature's share of gain."""
+    s = sampled(df, features, label, risk, most_rows)
+    job = {"what": "plain" if risk else "rate", "trees": trees, "pos_weight": pos_weight}
+    (model,) = side_by_side(df.sparkSession, s, [job | {"cv_folds": 1, "fold": -1}])
+    return BoostedModel.restored("", model), _gains(model)
+
+
 def fit_risk(
     df: DataFrame, features: list[str], label: str, trees: int = models.TREES, pos_weight: float = 1.0,
     cv_folds: int = models.CV_FOLDS, most_rows: int = MOST_ROWS,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pacewise.functions.measures import day, flag
-from pacewise.operators import clean, evaluate, models, quality
+from pacewise.operators import boosted, clean, evaluate, models, quality
 from pacewise.operators.conformed import daily_metrics, daily_metrics_by_key, training_set
 from pacewise.operators.split import TEST, TRAIN, row_fraction_split
 from pacewise.session import cut
@@ -36,7 +36,9 @@ class Run:
     """Where the raw files are, how the layers are called, and how far to train.
 
     Gold is partitioned by date, for dashboards ask for date ranges. With `by_key` it
-    has one row per (date, ad set) and counts nothing twice.
+    has one row per (date, ad set) and counts nothing twice. With `most_rows`, models are
+    grown by tasks over about that many training rows at most (see `boosted`); without,
+    by Spark ML over all.
     """
 
     paths: dict[str, str]
@@ -45,6 +47,7 @@ class Run:
     gold: str = "gold"
     trees: int = models.TREES
     by_key: bool = False
+    most_rows: int | None = None
     model_dir: str | None = None
     counts: dict[str, int] = field(default_factory=dict)
     reports: dict[str, dict] = field(default_factory=dict)
@@ -98,13 +101,27 @@ def _parts(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split.filter(F.col("split") == TRAIN), split.filter(F.col("split") == TEST)
 
 
-def _report(spark: SparkSession, run: Run, name: str, model: models.TreeModel, row) -> dict:
+def _fit(
+    spark: SparkSession, run: Run, train: DataFrame, features: list[str], label: str, risk: bool
+) -> tuple[models.TreeModel | boosted.BoostedModel, dict[str, float]]:
+    """The model and its importances."""
+    if run.most_rows:
+        return boosted.fit_one(train, features, label, risk, run.trees, most_rows=run.most_rows)
+    fit = models.fit_classifier if risk else models.fit_regressor
+    fitted = fit(train, features, label, run.trees)
+    ranked = models.importances(fitted, features, spark).collect()
+    weights = {r["feature"]: r["importance"] for r in ranked}
+    return models.TreeModel(features, fitted, risk), weights
+
+
+def _report(spark: SparkSession, run: Run, name: str, fitted: tuple, row) -> dict:
     """Metrics, features and importances; kept as JSON next to the saved model."""
+    model, weights = fitted
     features = model.features
-    ranked = models.importances(model.model, features, spark)
-    weights = {r["feature"]: r["importance"] for r in ranked.collect()}
-    meta = {"metrics": row.asDict(), "features": features, "importances": weights}
-    run.reports[name] = meta
+    metrics = row.asDict()
+    rows = metrics.pop("rows")
+    meta = {"metrics": metrics, "features": features, "importances": weights}
+    run.reports[name] = meta | {"rows": rows}
     if run.model_dir:
         model.info = {"metrics": meta["metrics"]}
         model.write().overwrite().save(f"{run.model_dir}/{name}")
@@ -122,15 +139,14 @@ def train_bookings(spark: SparkSession, run: Run) -> dict:
     """Daily bookings from the gold training set, tested on the last fifth of the rows."""
     df = require_rows(spark.table(f"{run.gold}.{TRAINING}"), "training set")
     train, test = _parts(df)
-    fitted = models.fit_regressor(train, S.BOOKINGS_FEATURES, "target_bookings", run.trees)
-    model = models.TreeModel(S.BOOKINGS_FEATURES, fitted)
-    scored = cut(model.transform(test, "predicted").select("target_bookings", "predicted"))
+    fitted = _fit(spark, run, train, S.BOOKINGS_FEATURES, "target_bookings", False)
+    scored = cut(fitted[0].transform(test, "predicted").select("target_bookings", "predicted"))
     row = (
         evaluate.regression_metrics(scored, "target_bookings", "predicted")
         .withColumn("rows", F.lit(scored.count()))
         .first()
     )
-    return _report(spark, run, "bookings", model, row)
+    return _report(spark, run, "bookings", fitted, row)
 
 
 def train_under_pacing(spark: SparkSession, run: Run) -> dict:
@@ -138,9 +154,8 @@ def train_under_pacing(spark: SparkSession, run: Run) -> dict:
     df = require_rows(spark.table(f"{run.gold}.{DAILY}"), "daily metrics")
     label = flag(F.col("pacing_status") == S.PACING_STATUSES[0])
     train, test = _parts(df.withColumn("label_under_pacing", label))
-    fitted = models.fit_classifier(train, S.UNDER_PACING_FEATURES, "label_under_pacing", run.trees)
-    model = models.TreeModel(S.UNDER_PACING_FEATURES, fitted, risk=True)
-    scored = cut(model.transform(test, "risk").select("label_under_pacing", "risk"))
+    fitted = _fit(spark, run, train, S.UNDER_PACING_FEATURES, "label_under_pacing", True)
+    scored = cut(fitted[0].transform(test, "risk").select("label_under_pacing", "risk"))
     row = (
         evaluate.classification_metrics(scored, "label_under_pacing", "risk")
         .select("accuracy", "f1")
@@ -148,7 +163,7 @@ def train_under_pacing(spark: SparkSession, run: Run) -> dict:
         .withColumn("rows", F.lit(scored.count()))
         .first()
     )
-    return _report(spark, run, "under_pacing", model, row)
+    return _report(spark, run, "under_pacing", fitted, row)
 
 
 def run_all(spark: SparkSession, run: Run) -> dict:

@@ -98,3 +98,9 @@ def test_one_class_and_features_without_numbers(spark):
     model, info = boosted.fit_risk(df, ["a", "b"], "y", trees=3)
     assert info["folds"] == 0 and np.isnan(info["cv_auc_mean"])
     assert model.transform(df, "s").where("s < 0.9").isEmpty()
+
+
+def test_one_fit_and_its_importances(rows):
+    model, gains = boosted.fit_one(rows, FEATURES, "y", True, trees=30)
+    assert min(gains, key=gains.get) == "c" and gains["c"] < 0.2 and model.risk and not model.curves
+    assert evaluate.roc_auc(model.transform(rows, "s"), "y", "s").first().auc > 0.95
