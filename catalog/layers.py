@@ -13,7 +13,7 @@ from catalog.registry import Registry
 from pacewise.functions import measures as M
 from pacewise.operators import clean, conformed, quality, rolled
 from pacewise.operators import windows as win
-from pacewise.session import cut, ensure_checkpoint_dir
+from pacewise.session import cut, ensure_checkpoint_dir, kept
 from pacewise.sources import readers, schemas as S
 from pacewise.sources.tables import export_csv, register, row_counts
 
@@ -80,10 +80,14 @@ def slv_conversions(spark: SparkSession, d: str) -> DataFrame:
     return clean.clean_conversions(bronze(spark, d, S.CONVERSIONS))
 
 
+@cache
+def silver_tables(spark: SparkSession, d: str) -> list[DataFrame]:
+    """Performance, budget and conversions, written down once, as the plans do."""
+    return [kept(f(spark, d)) for f in (slv_performance, slv_budget, slv_conversions)]
+
+
 def gld_daily(spark: SparkSession, d: str, **options) -> DataFrame:
-    """Silver is written down first, as the plans do: the join reads it twice."""
-    silver = [f(spark, d) for f in (slv_performance, slv_budget, slv_conversions)]
-    return conformed.daily_metrics(*[cut(df) for df in silver], **options)
+    return conformed.daily_metrics(*silver_tables(spark, d), **options)
 
 
 @cache

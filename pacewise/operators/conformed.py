@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pacewise.functions.measures import pacing_index, ratio
 from pacewise.operators.skew import join_many
-from pacewise.session import cut
+from pacewise.session import kept
 from pacewise.sources import schemas as S
 
 _PERFORMANCE_ZEROS = {
@@ -115,7 +115,7 @@ def daily_metrics(
     wide = [*S.KEYS, "ad_set_name", *_PERFORMANCE_ZEROS]
     money = [*S.KEYS, *_BUDGET_ZEROS, "pacing_status"]
     performance, budget = performance.select(*wide), budget.select(*money)
-    spine = cut(_spine(performance, budget, conversions))
+    spine = kept(_spine(performance, budget, conversions))
     joined = join_many(
         spine.drop("n0", "n1"),
         [performance.dropna(subset=S.KEYS), budget.dropna(subset=S.KEYS)],

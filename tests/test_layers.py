@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from pacewise import session
 from pacewise.functions.measures import day
 from pacewise.operators import clean, conformed, quality, ranks, rolled, skew, split
 from pacewise.operators import windows as win
@@ -292,3 +294,24 @@ def test_a_hot_ad_set_is_split_when_the_audience_is_large(spark):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def test_a_query_of_keys_reads_no_other_column_of_silver(spark):
+    """Silver is kept in columns: counting merged keys scans keys and row counts alone."""
+    frames = [
+        spark.createDataFrame([(dt.date(2024, 8, 1), "A", "n", 1, 1, 1.0, 1.0, 1.0, 1.0)],
+                              "date date, ad_set_id string, ad_set_name string, impressions bigint, clicks bigint, "
+                              "spend double, ctr double, cpm double, frequency double"),
+        spark.createDataFrame([(dt.date(2024, 8, 1), "A", 1.0, 1.0, 1.0, "on_pace")],
+                              "date date, ad_set_id string, planned_spend double, actual_spend double, "
+                              "budget_utilization double, pacing_status string"),
+        spark.createDataFrame([("C", dt.date(2024, 8, 1), "A", "booking_completed", 1.0, "w", "s")],
+                              "conversion_id string, date date, ad_set_id string, conversion_type string, value double, "
+                              "attribution_window string, user_segment string"),
+    ]
+    daily = conformed.daily_metrics(*[session.kept(f) for f in frames])
+    counted = daily.groupBy("date", "ad_set_id").count()
+    scans = re.findall(r"ReadSchema: struct<([^>]*)>", counted._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")))
+    assert scans and all("spend" not in s and "ctr" not in s and "revenue" not in s for s in scans), scans
+    assert counted.first()["count"] == 1
