@@ -30,7 +30,7 @@ TREES, MAX_DEPTH = 24, 8
 SAMPLE_PAIRS, LEAST_SIMILAR = 8_000, 0.1
 #: Classes and shingles in one tile; larger blocks and nodes are cut into tiles.
 TILE, TILE_SHINGLES = 512, 1_000_000
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 SEED = 7
 #: Bytes of a minimum in a word.
 LETTER = 2
