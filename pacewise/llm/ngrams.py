@@ -2,9 +2,10 @@
 
 Each document has a word of MAX_DEPTH minima in each of TREES tries; a trie's nodes at a
 depth are the documents with an equal prefix of that length. The join starts at full
-depth. A sample of pairs that meet there is verified exactly, and from their similarities
-follows the share of such links that prefixes of any lengths would find; prefixes are
-shortened, trie by trie, until that recall meets its target. Documents with equal sets of
+depth: all pairs that meet there are verified exactly, and from the similarities of all
+their links follows the share of such links that prefixes of any lengths would find;
+prefixes are shortened, trie by trie, until that recall meets its target, and the pairs
+that meet then and did not before are verified, too. Documents with equal sets of
 shingles are one class and enter once. Classes that prefixes connect form a block: a small
 block is one unit of work, in a large one each node of each trie is a unit of its own, or
 several if it is large. Every unit verifies its pairs on the whole sets, and a pair counts
@@ -25,9 +26,9 @@ from pacewise.llm.store import ship_package, stored
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.999
 TREES, MAX_DEPTH = 24, 8
-#: Pairs that are verified to find the depths, one of a node, and the share of them, the
-#: least similar ones, that the recall is measured on.
-SAMPLE_PAIRS, LEAST_SIMILAR = 8_000, 0.1
+#: The share of the links at full depth, the least similar ones, that the recall is
+#: measured on.
+LEAST_SIMILAR = 0.1
 #: Classes and shingles in one tile; larger blocks and nodes are cut into tiles.
 TILE, TILE_SHINGLES = 512, 1_000_000
 SLICE_BYTES = 1_000_000
@@ -300,11 +301,14 @@ def _overlaps(
     return np.rint(out).astype(np.int64)
 
 
-def _verify(threshold: float, depths: list[int], deepest: int = MAX_DEPTH):
+def _verify(
+    threshold: float, depths: list[int], before: list[int] | None = None, deepest: int = MAX_DEPTH
+):
     """Verify the candidates of one unit: small blocks, or one tile of a large trie node.
 
     `tree` is the trie of the unit, or -1 for whole blocks; of a node's pairs only those
-    count that don't meet in an earlier trie.
+    count that don't meet in an earlier trie, and none that prefixes of the lengths
+    `before` bring together. `alike` is -1, or the similarity in hundredths of `n` links.
     """
     trees = len(depths)
 
@@ -321,7 +325,7 @@ def _verify(threshold: float, depths: list[int], deepest: int = MAX_DEPTH):
             table.column(c).to_numpy()
             for c in ("node", "weight", "group", "part", "low", "high", "tree")
         )
-        out_a, out_b, out_n = [], [], []
+        out_a, out_b, out_n, alike = [], [], [], np.zeros(101, np.int64)
         order = np.lexsort((node, high, low, tree, group))
         keys = np.stack([group, tree, low, high])[:, order]
         cuts = np.flatnonzero((np.diff(keys) != 0).any(axis=0)) + 1
@@ -332,7 +336,8 @@ def _verify(threshold: float, depths: list[int], deepest: int = MAX_DEPTH):
             begin, end = starts[rows], ends[rows]
             offsets = np.concatenate([[0], np.cumsum(sizes[rows])])
             own = np.concatenate([flat[a:b] for a, b in zip(begin, end)])
-            keys = prefixes(words_of_tries(own, offsets, trees, deepest), depths)
+            tries = words_of_tries(own, offsets, trees, deepest)
+            keys = prefixes(tries, depths)
             unit = int(tree[rows[0]])
             met = np.zeros((len(rows), len(rows)), bool)
             for t in range(trees):
@@ -343,6 +348,10 @@ def _verify(threshold: float, depths: list[int], deepest: int = MAX_DEPTH):
                     met |= same
                 elif t == unit:
                     met = same & ~met
+            if before:
+                known = prefixes(tries, before)
+                for t in range(trees):
+                    met &= known[:, t, None] != known[None, :, t]
             # In a tile of two parts only pairs across them are new.
             if low[rows[0]] != high[rows[0]]:
                 met &= part[rows][:, None] != part[rows][None, :]
@@ -350,6 +359,8 @@ def _verify(threshold: float, depths: list[int], deepest: int = MAX_DEPTH):
             common = _overlaps(own, offsets[:-1], offsets[1:], met)
             union = sizes[rows][:, None] + sizes[rows][None, :] - common
             links = met & (common >= threshold * union)
+            pairs = np.triu(links)
+            alike += np.bincount(common[pairs] * 100 // union[pairs], minlength=101)
             counted = links @ weight[rows]
             has = np.flatnonzero(counted)
             out_a.append(node[rows[has]])
@@ -359,56 +370,28 @@ def _verify(threshold: float, depths: list[int], deepest: int = MAX_DEPTH):
             out_a.append(node[rows[a]])
             out_b.append(node[rows[b]])
             out_n.append(np.zeros(len(a), np.int64))
-        empty = [np.zeros(0, np.int64)]
-        return pa.table(
-            {c: np.concatenate(x or empty) for c, x in zip("abn", (out_a, out_b, out_n))}
-        )
+        rows = sum(len(x) for x in out_n)
+        levels = np.flatnonzero(alike)
+        nothing = np.zeros(len(levels), np.int64)
+        columns = {"a": [*out_a, nothing], "b": [*out_b, nothing], "n": [*out_n, alike[levels]]}
+        columns["alike"] = [np.full(rows, -1), levels]
+        return pa.table({c: np.concatenate(x).astype(np.int64) for c, x in columns.items()})
 
     return verify
 
 
-def _sampled_similarities(
-    texts: DataFrame, classes: DataFrame, words: int, threshold: float, trees: int, most: int
+def _similarities(
+    found: DataFrame, threshold: float, depths: list[int]
 ) -> dict[float, float]:
-    """The least similar links of a verified sample of pairs: their weight by similarity.
+    """The least similar of all links found by prefixes of these lengths: their weight by
+    similarity.
 
-    The pairs are two classes of a trie node at full depth, of as many nodes as the sample
-    takes, chosen by their hash. A link of similarity s is in a node with probability
-    s ** MAX_DEPTH, so it weighs the inverse. Without any link the threshold stands for all.
+    A link weighs the inverse of the probability that such prefixes find it. Without any
+    link the threshold stands for all.
     """
-    full = _nodes(classes, [MAX_DEPTH] * trees).select("node", F.explode("prefixes").alias("prefix"))
-    # Two classes stand for a node, chosen by a hash of class and node: no pairs are listed.
-    by_chance = F.xxhash64("node", "prefix")
-    pairs = (
-        full.groupBy("prefix")
-        .agg(F.min_by("node", by_chance).alias("a"), F.max_by("node", by_chance).alias("b"))
-        .where("a <> b")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "prefix")
-    )
-    pairs = stored(pairs, "sample")
-    total = pairs.count()
-    if not total:
-        return {threshold: 1.0}
-    limit = min(1.0, most / total)
-    place = F.pmod(F.xxhash64("prefix", F.lit(3)), F.lit(1 << 40))
-    pairs = pairs.where(place < F.lit(int(limit * (1 << 40)))).select("a", "b")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct()
-    # At most two classes for each of `most` pairs.
-    chosen = classes.join(F.broadcast(ends), F.col("node") == F.col("end"))
-    rows = texts.join(F.broadcast(chosen.select("first", "node", "k1", "k2")), _is_first())
-    sets = stored(_shingled(rows.select("node", "k1", "k2", "text"), words, {}), "sampled")
-    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
-    two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    common = F.size(F.array_intersect("left", "right"))
-    alike = common / (F.size("left") + F.size("right") - common)
-    found = (
-        pairs.join(one, "a").join(two, "b")
-        .select(F.floor(alike * 100).alias("hundredths"), alike.alias("alike"))
-        .where(F.col("alike") >= threshold)
-        .groupBy("hundredths").count().orderBy("hundredths").collect()
-    )
-    weights = [(max(r.hundredths / 100, threshold), r["count"]) for r in found]
-    weights = [(s, n / s**MAX_DEPTH) for s, n in weights]
+    levels = found.where("alike >= 0").groupBy("alike").agg(F.sum("n").alias("n"))
+    counts = [(max(r.alike / 100, threshold), r.n) for r in levels.orderBy("alike").collect()]
+    weights = [(s, n / expected_recall(depths, {s: 1.0})) for s, n in counts]
     if not weights:
         return {threshold: 1.0}
     out, room = {}, LEAST_SIMILAR * sum(w for _, w in weights)
@@ -493,56 +476,35 @@ def _tiles(rows: DataFrame, unit: Column) -> DataFrame:
     )
 
 
-def _classes(
-    docs: DataFrame,
-    id_col: str,
-    text_col: str,
-    words: int,
+def _shared(spread: DataFrame) -> DataFrame:
+    """(shared, hub): the prefixes of several classes, with the smallest of these."""
+    return spread.groupBy("prefix").agg(
+        F.min("node").alias("hub"), F.max("node").alias("other")
+    ).where("hub < other").select(F.col("prefix").alias("shared"), "hub")
+
+
+def _links(
+    classes: DataFrame,
+    sets: DataFrame,
     threshold: float,
-    recall: float,
-    trees: int,
-) -> tuple[DataFrame, DataFrame]:
-    """The signatures of all rows, and for each set of shingles what it links with.
+    depths: list[int],
+    before: list[int] | None = None,
+) -> DataFrame:
+    """(a, b, n, alike) of the links that prefixes of these lengths find, see _verify.
 
-    The latter is (k1, k2, first, root, weight, others): `first` names the row with the
-    smallest id by (no_id, doc_id, h1, h2), sets of one `root` are connected, `weight`
-    rows have the set and `others` link with it. A set goes by the number that it has in
-    the stored table of sets, so no two are taken for one.
+    `sets` (node, weight, shingles) has all classes that share a prefix with another.
     """
-    spark = docs.sparkSession
-    ship_package(spark)
-    text = F.col(text_col)
-    texts = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), *_digests(text))
-    signed = stored(signatures(texts, words, trees), "signatures")
-    # One class for each set; its first row stands for it.
-    classes = (
-        signed.where("n > 0")
-        .groupBy("k1", "k2", "n")
-        .agg(
-            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h1", "h2")).alias(
-                "first"
-            ),
-            F.count("*").alias("weight"),
-            F.first("tries").alias("tries"),
-        )
-        .withColumn("node", F.monotonically_increasing_id())
-    )
-    classes = stored(classes, "classes")
-    similar = _sampled_similarities(texts, classes, words, threshold, trees, SAMPLE_PAIRS)
-    depths = shortened(similar, recall, trees)
+    spark, trees = classes.sparkSession, len(depths)
     met = stored(_nodes(classes, depths), "nodes")
     spread = met.select("node", F.explode("prefixes").alias("prefix"))
-    bucket = spread.groupBy("prefix").agg(
-        F.min("node").alias("hub"), F.max("node").alias("other")
-    ).where("hub < other").select(F.col("prefix").alias("shared"), "hub")
-    edges = spread.join(bucket, F.col("prefix") == F.col("shared")).select(
+    edges = spread.join(_shared(spread), F.col("prefix") == F.col("shared")).select(
         F.col("node").alias("a"), F.col("hub").alias("b")
     )
     blocks = components(edges).select(
         F.col("node").alias("block_node"), F.col("root").alias("block")
     )
     placed = stored(
-        classes.drop("tries").join(blocks, F.col("node") == F.col("block_node")).drop("block_node"),
+        classes.select("node", "n").join(blocks, F.col("node") == F.col("block_node")).drop("block_node"),
         "placed",
     )
     sizes = placed.groupBy("block").agg(F.count("*").alias("many"), F.sum("n").alias("length"))
@@ -553,20 +515,14 @@ def _classes(
     nodes = _trie_units(met, placed, trees)
     total = placed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     together = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // TILE_SHINGLES))
-    # Texts of candidates are moved by id and digest at every size, so that costs grow in
-    # proportion, and a text without an id of its own meets its own class only.
-    once = placed.select("first", "node", "k1", "k2", "weight", "block", "parts")
-    chosen = texts.join(once.hint("merge"), _is_first())
-    chosen = chosen.select("node", "k1", "k2", "weight", "block", "parts", "text")
-    sets = _shingled(chosen, words, {"weight": "long", "block": "long", "parts": "int"})
     unit = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("group"), F.lit(together))).otherwise(
         F.xxhash64("group", "low", "high")
     )
-    by_block = sets
+    by_block = placed.select(F.col("node").alias("placed_node"), "block", "parts")
     if nodes is not None:
-        sets = stored(sets, "sets")  # some of these are read once more
         split = nodes.select(F.col("block").alias("split")).distinct()
-        by_block = sets.join(split, F.col("block") == F.col("split"), "left_anti")
+        by_block = by_block.join(split, F.col("block") == F.col("split"), "left_anti")
+    by_block = sets.join(by_block, F.col("node") == F.col("placed_node"))
     whole = [F.col("block").alias("group"), F.lit(-1).alias("tree"), "parts"]
     units = _tiles(by_block.select("node", "weight", "shingles", *whole), unit)
     if nodes is not None:
@@ -578,21 +534,76 @@ def _classes(
         inside = own.join(
             nodes.select(
                 F.col("tree").alias("in_tree"), F.col("prefix").alias("in_prefix"),
-                F.col("block").alias("in_block"), F.col("node_parts"),
+                F.col("node_parts"),
             ),
             (F.col("tree") == F.col("in_tree")) & (F.col("prefix") == F.col("in_prefix")),
         )
-        copies = sets.join(
-            inside, (F.col("node") == F.col("member")) & (F.col("block") == F.col("in_block"))
-        ).select(
+        copies = sets.join(inside, F.col("node") == F.col("member")).select(
             "node", "weight", "shingles", F.xxhash64("tree", "prefix").alias("group"), "tree",
             F.col("node_parts").alias("parts"),
         )
         units = units.union(_tiles(copies, F.xxhash64("group", "low", "high")))
-    found = stored(
-        units.groupBy("unit").applyInArrow(_verify(threshold, depths), "a long, b long, n long"),
-        "links",
+    verify = _verify(threshold, depths, before)
+    return stored(
+        units.groupBy("unit").applyInArrow(verify, "a long, b long, n long, alike long"), "links"
+    )
+
+
+def _classes(
+    docs: DataFrame,
+    id_col: str,
+    text_col: str,
+    words: int,
+    threshold: float,
+    recall: float,
+    trees: int,
+) -> tuple[DataFrame, DataFrame]:
+    """The signatures of all rows, and for each set of shingles what it links with.
+
+    The latter is (k1, k2, first, root, weight, others): `first` names the row with the
+    smallest id by (no_id, doc_id, h1, h2), sets of one `root` are connected, `weight`
+    rows have the set and `others` link with it. A set goes by the number that it has in
+    the stored table of sets, so no two are taken for one.
+    """
+    spark = docs.sparkSession
+    ship_package(spark)
+    text = F.col(text_col)
+    texts = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), *_digests(text))
+    signed = stored(signatures(texts, words, trees), "signatures")
+    # One class for each set; its first row stands for it.
+    classes = (
+        signed.where("n > 0")
+        .groupBy("k1", "k2", "n")
+        .agg(
+            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h1", "h2")).alias(
+                "first"
+            ),
+            F.count("*").alias("weight"),
+            F.first("tries").alias("tries"),
+        )
+        .withColumn("node", F.monotonically_increasing_id())
+    )
+    classes = stored(classes, "classes")
+    # No link is less alike than the threshold, so prefixes are never shorter than `least`:
+    # texts move once, by id and digest at every size, so that costs grow in proportion, and
+    # a text without an id of its own meets its own class only.
+    full, least = [MAX_DEPTH] * trees, shortened({threshold: 1.0}, recall, trees)
+    spread = _nodes(classes, least).select("node", F.explode("prefixes").alias("prefix"))
+    near = spread.join(_shared(spread), F.col("prefix") == F.col("shared"))
+    near = near.select(F.col("node").alias("near")).distinct()
+    once = classes.select("first", "node", "k1", "k2", "weight").join(
+        near, F.col("node") == F.col("near")
+    )
+    chosen = texts.join(once.hint("merge"), _is_first())
+    sets = _shingled(
+        chosen.select("node", "k1", "k2", "weight", "text"), words, {"weight": "long"}
     )
+    sets = stored(sets, "sets")
+    found = _links(classes, sets, threshold, full)
+    depths = shortened(_similarities(found, threshold, full), recall, trees)
+    if depths != full:
+        found = found.union(_links(classes, sets, threshold, depths, full))
+    found = found.where("alike < 0")
     counts = found.where("n > 0").groupBy("a").agg(F.sum("n").alias("others"))
     joined = components(found.where("n = 0").select("a", "b"))
     named = classes.drop("tries").join(

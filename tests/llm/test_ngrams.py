@@ -198,3 +198,14 @@ def test_texts_of_rows_without_an_id_meet_their_own_class_only(documents, monkey
     monkeypatch.setattr(ngrams, "_shingled", lambda df, *more: met.append(df.count()) or shingled(df, *more))
     ngrams.similarity_classes(documents(rows)).collect()
     assert met[-1] == 60  # after the sample
+
+
+def test_prefixes_are_shortened_by_all_links_and_not_by_a_sample(documents, monkeypatch):
+    monkeypatch.setattr(ngrams, "LEAST_SIMILAR", 1.0)
+    seen, shortened = [], ngrams.shortened
+    monkeypatch.setattr(ngrams, "shortened", lambda alike, *more: seen.append(alike) or shortened(alike, *more))
+    rows = [(i, edited(sentence(1, 200), i, 200), "s") for i in range(40)]  # one dense group
+    ngrams.similarity_classes(documents(rows)).collect()
+    links = sum(n * many for (_, n, _), many in brute(rows).items()) / 2
+    # One pair of a trie node would be a few dozen at most.
+    assert links > 700 and 0.98 * links <= sum(seen[-1].values()) <= 1.02 * links
