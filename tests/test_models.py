@@ -157,3 +157,18 @@ def test_cross_validation(learnable):
     assert risk["folds"] == 2 and 0.5 < risk["cv_auc_mean"] <= 1
     rate = models.cross_validate_regressor(learnable, ["a", "b"], "z", trees=3, k=2)
     assert rate["cv_mae_mean"] > 0 and rate["cv_r2_mean"] < 1
+
+
+def test_trees_read_copies_of_a_row_once(learnable, monkeypatch):
+    seen = []
+
+    class Recorded(models.GBTRegressor):
+        def fit(self, df, params=None):
+            seen.append(df.agg(F.count("*"), F.sum("_weight")).first())
+            return super().fit(df, params)
+
+    monkeypatch.setattr(models, "GBTRegressor", Recorded)
+    different = learnable.select("a", "b", "z").distinct().count()
+    copies = learnable.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(3))))
+    models.fit_regressor(copies, ["a", "b"], "z", trees=2)
+    assert tuple(seen[0]) == (different, 3.0 * learnable.count())
