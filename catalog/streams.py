@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import cache
 from uuid import uuid4
 
@@ -12,7 +13,7 @@ from catalog import star
 from catalog.layers import BY_KEY_DIGITS, DAILY_BY_KEY, DAILY_DIGITS
 from catalog.registry import Registry
 from pacewise.functions import measures as M
-from pacewise.session import ensure_checkpoint_dir
+from pacewise.session import ensure_checkpoint_dir, kept
 from pacewise.sources import schemas as S
 from pacewise.sources.tables import export_csv
 from pacewise.streaming import ingest as I
@@ -34,15 +35,25 @@ def _wrong(raw: DataFrame, table: str) -> DataFrame:
     return wrong.unionByName(wrong.withColumn(amount, (more.cast("double") + 1).cast("string")))
 
 
-def _exports(spark: SparkSession, d: str, table: str) -> tuple[DataFrame, DataFrame]:
-    """The raw rows in two exports; the second has late, repeated and corrected rows."""
-    raw = star.RAW[table](spark, d)
-    days = star.raw_performance(spark, d).agg(
+@cache
+def _raw(spark: SparkSession, d: str, table: str) -> DataFrame:
+    """The raw rows, derived and written down once for all parts of both exports."""
+    return kept(star.RAW[table](spark, d))
+
+
+@cache
+def _until(spark: SparkSession, d: str) -> date:
+    """The last day that the first export reaches."""
+    days = _raw(spark, d, S.PERFORMANCE).agg(
         F.min(M.day(S.DATE)).alias("first"), F.max(M.day(S.DATE)).alias("last")
     )
-    until = days.select(
-        F.date_add("first", F.floor(F.datediff("last", "first") * 2 / 3).cast("int"))
-    ).scalar()
+    third = F.floor(F.datediff("last", "first") * 2 / 3).cast("int")
+    return days.select(F.date_add("first", third)).first()[0]
+
+
+def _exports(spark: SparkSession, d: str, table: str) -> tuple[DataFrame, DataFrame]:
+    """The raw rows in two exports; the second has late, repeated and corrected rows."""
+    raw, until = _raw(spark, d, table), F.lit(_until(spark, d)).cast("date")
     old, kind = M.day(S.DATE) <= until, _kind()
     first = raw.where(old & ~kind.isin(LATE, CORRECTED)).unionByName(
         _wrong(raw.where(old & (kind == CORRECTED)), table)

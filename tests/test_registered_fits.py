@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from catalog import learning, outputs
+from catalog import learning, outputs, streams
 from catalog.registry import Registry
 from pacewise.operators import models
 
@@ -51,3 +51,13 @@ def test_bronze_queries_build_no_other_layer(spark, monkeypatch):
     folder = "/root/testdata/sf0.001/"  # no other test's runs
     for name in ("p03_bronze_performance", "p04_bronze_conversions"):
         assert registry.builds[name](spark, folder).count() > 0
+
+
+def test_stream_exports_derive_their_raw_rows_once(spark, monkeypatch):
+    derived, folder = [], "/root/testdata/sf0.001/."
+    raw = dict(streams.star.RAW)
+    counted = {t: lambda s, d, t=t: derived.append(t) or raw[t](s, d) for t in raw}
+    monkeypatch.setattr(streams.star, "RAW", counted)
+    rows = [streams._exports(spark, folder, t) for t in streams.I.CLEANERS for _ in (1, 2)]
+    assert sorted(derived) == sorted(streams.I.CLEANERS)
+    assert all(first.count() > 0 and second.count() > 0 for first, second in rows)
