@@ -32,8 +32,9 @@ from pacewise.llm.store import ship_package, stored
 #: Words in the lexicon, at most this many bytes long; both bound what reaches the driver.
 LEXICON_WORDS, LEXICON_BYTES = 131_072, 48
 #: Characters taken at a time; what one task counts, and remembers, at most, by words and
-#: by characters; words beyond KEPT_CHARS are not remembered when they have been merged.
-SLICE_CHARS, COUNTED_WORDS, REMEMBERED = 2_500_000, 250_000, 250_000
+#: by characters; of words that have been merged MERGED, and none beyond KEPT_CHARS. Workers
+#: keep what they remember while later queries run in them.
+SLICE_CHARS, COUNTED_WORDS, REMEMBERED, MERGED = 1_000_000, 250_000, 250_000, 50_000
 COUNTED_CHARS, REMEMBERED_CHARS, KEPT_CHARS = 50_000_000, 10_000_000, 256
 #: Words of more bytes are merged by a heap instead of by looking for the lowest rank.
 SHORT_BYTES = 64
@@ -259,14 +260,14 @@ class Encoder:
         """Ids of distinct words as (flat ids, offsets)."""
         raw = [p.encode() for p in parts]
         places = self.lexicon.places(raw)
-        if len(self.merged) > REMEMBERED:
-            self.merged.clear()
         own = []
         missing = np.flatnonzero(places < 0)
         for i in missing.tolist():
             ids = self.merged.get(parts[i])
             if ids is None:
                 ids = self.vocabulary.merge(raw[i])
+                if len(self.merged) >= MERGED:
+                    self.merged.clear()
                 if len(parts[i]) <= KEPT_CHARS:
                     self.merged[parts[i]] = ids
             own.append(ids)

@@ -94,3 +94,20 @@ def test_memory_is_bounded_by_characters(tmp_path, monkeypatch):
         encoder.encode(["".join(pick.choices("abcdefgh", k=10_000)) for _ in range(2)])
         assert encoder.chars <= 70_000 and len(encoder.ids) <= 70_000
     assert not encoder.merged  # long words aren't remembered
+
+
+def test_an_encoder_stays_small_over_ever_new_words(tmp_path, monkeypatch):
+    path = str(tmp_path / "lexicon.bin")
+    vocabulary = bpe.Vocabulary(tokenizer())
+    lexicon.compile_lexicon({b"the": vocabulary.merge(b"the")}, path)
+    encoder = bpe.Encoder(vocabulary, lexicon.Lexicon(path))
+    monkeypatch.setattr(bpe, "MERGED", 1000)
+    pick = random.Random(6)
+    for _ in range(3):
+        words = ["".join(pick.choices("abcdefgh", k=9)) for _ in range(4000)]
+        ids, offsets, decoded = encoder.encode([" ".join(words), "the"])
+        assert ids.tolist() == [i for w in [*words, "the"] for i in vocabulary.merge(w.encode())]
+        assert len(encoder.merged) <= 1000
+    # What a slice takes at a time is little beside an executor's memory for Python.
+    text = " ".join("".join(pick.choices("abcdefgh", k=9)) for _ in range(300_000))
+    assert len(max(bpe._slices([text[i : i + 2000] for i in range(0, len(text), 2000)], bpe.SLICE_CHARS), key=len)) <= 500
