@@ -34,7 +34,7 @@ def trained_conformed(spark: SparkSession, d: str) -> conformed_plan.Run:
     """The conformed plan to its end: both models fitted, tested and saved."""
     run = conformed_run(spark, d)
     run.model_dir = run.model_dir or _model_dir(spark)
-    run.most_rows = boosted.MOST_ROWS
+    run.side_by_side = True
     conformed_plan.train_bookings(spark, run)
     conformed_plan.train_under_pacing(spark, run)
     return run
@@ -45,7 +45,7 @@ def trained_rolled(spark: SparkSession, d: str) -> rolled_plan.Run:
     """The rolled plan to its end: cross-validation, both models, both score tables."""
     run = rolled_run(spark, d)
     run.model_dir = run.model_dir or _model_dir(spark)
-    run.most_rows = boosted.MOST_ROWS
+    run.side_by_side = True
     rolled_plan.train_risk(spark, run)
     rolled_plan.train_rate(spark, run)
     return run

@@ -36,9 +36,10 @@ class Run:
     """Where the raw files are, how the layers are called, and how far to train.
 
     Gold is partitioned by date, for dashboards ask for date ranges. With `by_key` it
-    has one row per (date, ad set) and counts nothing twice. With `most_rows`, models are
-    grown by tasks over about that many training rows at most (see `boosted`); without,
-    by Spark ML over all.
+    has one row per (date, ad set) and counts nothing twice. With `side_by_side`, models are
+    grown by tasks over counted rows (see `boosted`); without, by Spark ML. Both see all
+    training rows; only `most_rows` bounds them, to about as many, and it means
+    `side_by_side`.
     """
 
     paths: dict[str, str]
@@ -47,6 +48,7 @@ class Run:
     gold: str = "gold"
     trees: int = models.TREES
     by_key: bool = False
+    side_by_side: bool = False
     most_rows: int | None = None
     model_dir: str | None = None
     counts: dict[str, int] = field(default_factory=dict)
@@ -105,7 +107,7 @@ def _fit(
     spark: SparkSession, run: Run, train: DataFrame, features: list[str], label: str, risk: bool
 ) -> tuple[models.TreeModel | boosted.BoostedModel, dict[str, float]]:
     """The model and its importances."""
-    if run.most_rows:
+    if run.side_by_side or run.most_rows:
         return boosted.fit_one(train, features, label, risk, run.trees, most_rows=run.most_rows)
     fit = models.fit_classifier if risk else models.fit_regressor
     fitted = fit(train, features, label, run.trees)
